@@ -51,7 +51,10 @@ def exact_dedup(
         F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
     )
     by_digest = checkpointed(by_digest)
-    rows = docs.select(F.col(id_col).alias("id"), digest(text_of(text_col)).alias("digest"))
+    # equal rows are interchangeable: they are counted before the join, so that the join stands
+    # alone and Spark can split a digest that holds many rows, and written out again after it
+    one_each = lambda rows: rows.groupBy("id", *[c for c in rows.columns if c != "id"]).agg(F.count(F.lit(1)).alias("n"))
+    rows = one_each(docs.select(F.col(id_col).alias("id"), digest(text_of(text_col)).alias("digest")))
     plain = by_digest.where("texts = 1").drop("texts")
     found = rows.join(plain, "digest")
     shared = by_digest.where("texts > 1").select("digest")
@@ -59,10 +62,8 @@ def exact_dedup(
         whole = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
         whole = whole.withColumn("digest", digest(F.col("text")))
         apart = groups.join(shared, "digest", "left_semi")
-        found = found.unionByName(whole.join(apart, ["digest", "text"]).select(found.columns))
-    # equal rows are interchangeable: count them, then write each out again, the first one kept
-    counted = found.groupBy("id", "digest", "keep_id", "group_size").agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
+        found = found.unionByName(one_each(whole).join(apart, ["digest", "text"]).select(found.columns))
+    return found.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
         "id",
         "keep_id",
         "group_size",

@@ -17,6 +17,7 @@ import heapq
 from collections.abc import Iterable
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from adit.llm.common import map_rows, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+REPLAY_WORDS = 10_000  # laid out at once: small enough for a processor's cache
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,98 +41,144 @@ def splitter(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+_END = 65_535  # stands beside the first and the last token of each word; merges with nothing
+
+
 class MergeReplay:
     """Encodes words by replaying the merges of ``ranks`` over all of them at once."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
+        if len(ranks) >= _END or max(ranks.values(), default=0) >= _END:
+            raise ValueError(f"more than {_END - 1} ranks")
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.decimal = {rank: str(rank) for rank in self.token}
         self.words = splitter(pattern).findall
-        self.merged: dict[tuple[int, int], int] = {}
+        self.one = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        #: what two neighbouring bytes merge into, or -1
+        self.pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int64)
+        self.merged: dict[int, int] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
 
-    def rank_of(self, pair: tuple[int, int]) -> int:
-        """The rank of what a pair merges into, or -1."""
-        found = self.merged.get(pair)
-        if found is None:
-            found = self.ranks.get(self.token[pair[0]] + self.token[pair[1]], -1) if min(pair) >= 0 else -1
-            if len(self.merged) > 1_000_000:
-                self.merged.clear()
-            self.merged[pair] = found
+    def look_up(self, pair: int) -> int:
+        """The rank of what a pair (left * 65536 + right) merges into, or -1; remembered."""
+        left, right = divmod(pair, 65_536)
+        found = -1 if left == _END or right == _END else self.ranks.get(self.token[left] + self.token[right], -1)
+        if len(self.merged) > 1_000_000:
+            self.merged.clear()
+        self.merged[pair] = found
         return found
 
+    def index(self, data: np.ndarray, ends: np.ndarray) -> dict[int, list[int]]:
+        """The inverted index: for each rank the places whose byte and its next one merge into it."""
+        rank = self.pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
+        rank[ends[:-1] - 1] = -1  # not across words
+        at = np.flatnonzero(rank >= 0)
+        at = at[np.argsort(rank[at], kind="stable")]
+        ranks, first = np.unique(rank[at], return_index=True)
+        upto, places = [*first.tolist()[1:], len(at)], at.tolist()
+        return {r: places[i:j] for r, i, j in zip(ranks.tolist(), first.tolist(), upto, strict=True)}
+
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The tokens of each word. Words that are tokens themselves stay whole."""
-        whole = [self.ranks.get(w) for w in words]
-        one = [self.ranks[bytes([b])] for b in range(256)]
-        tokens, starts = [-1], []
-        for word, rank in zip(words, whole, strict=True):
-            starts.append(len(tokens))
-            if rank is None:
-                tokens.extend([one[b] for b in word])
-            tokens.append(-1)
-        after, before = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1))
-        rank_of, places = self.rank_of, {}
-        for at, pair in enumerate(zip(tokens, tokens[1:], strict=False)):
-            if (rank := rank_of(pair)) >= 0:
-                places.setdefault(rank, []).append(at)
+        whole = list(map(self.ranks.get, words))
+        parts = [w for w, rank in zip(words, whole, strict=True) if rank is None]
+        if not parts:
+            return [(rank,) for rank in whole]
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        n = len(data)
+        after, before = np.arange(1, n + 1), np.arange(-1, n)
+        after[ends - 1] = n
+        before[ends] = n
+        before[0] = n
+        tokens, after, before = [*self.one[data].tolist(), _END], after.tolist(), before.tolist()
+        places, look_up, known = self.index(data, ends), self.look_up, self.merged.get
         queue = list(places)
         heapq.heapify(queue)
         while queue:
             rank = heapq.heappop(queue)
-            todo = sorted(places.pop(rank, ()))
+            todo = places.pop(rank)
+            todo.sort()
             for k, at in enumerate(todo):
+                token = tokens[at]
+                if token < 0:
+                    continue  # has become part of its left neighbour
                 right = after[at]
-                if right >= len(tokens) or rank_of((tokens[at], tokens[right])) != rank:
+                pair = token * 65_536 + tokens[right]
+                found = known(pair)
+                if (look_up(pair) if found is None else found) != rank:
                     continue  # a neighbour has changed since
-                tokens[at], tokens[right] = rank, -2
+                tokens[at], tokens[right] = rank, -1
                 after[at] = far = after[right]
                 before[far] = at
-                earlier = False
-                for left in (before[at], at):
-                    new = rank_of((tokens[left], tokens[after[left]]))
-                    if new >= 0:
-                        if new not in places:
-                            places[new] = []
-                            heapq.heappush(queue, new)
+                left, earlier = before[at], False
+                pair = tokens[left] * 65_536 + rank
+                new = known(pair)
+                if (look_up(pair) if new is None else new) >= 0:
+                    new = known(pair)
+                    if new in places:
                         places[new].append(left)
-                        earlier |= new <= rank
+                    else:
+                        places[new] = [left]
+                        heapq.heappush(queue, new)
+                    earlier = new <= rank
+                pair = rank * 65_536 + tokens[far]
+                new = known(pair)
+                if (look_up(pair) if new is None else new) >= 0:
+                    new = known(pair)
+                    if new in places:
+                        places[new].append(at)
+                    else:
+                        places[new] = [at]
+                        heapq.heappush(queue, new)
+                    earlier = earlier or new <= rank
                 if earlier:  # that merge comes before the rest of these
                     if rank not in places:
                         places[rank] = []
                         heapq.heappush(queue, rank)
                     places[rank].extend(todo[k + 1 :])
                     break
-        out = []
-        for start, rank in zip(starts, whole, strict=True):
-            if rank is not None:
-                out.append((rank,))
-                continue
-            ids, at = [], start
-            while tokens[at] != -1:
-                ids.append(tokens[at])
-                at = after[at]
-            out.append(tuple(ids))
-        return out
+        left_over = np.array(tokens[:n])
+        alive = left_over >= 0
+        ids, upto = left_over[alive].tolist(), np.concatenate(([0], np.cumsum(alive)[ends - 1])).tolist()
+        spans = iter(zip(upto, upto[1:], strict=False))
+        return [(rank,) if rank is not None else tuple(ids[slice(*next(spans))]) for rank in whole]
 
     def encode(self, texts: Iterable[str]) -> list[list[int]]:
-        """The ids of every text. Words met before come from a bounded cache."""
-        split = [self.words(text) for text in texts]
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        """The ids of every text. Words met before come from a cache of bounded size."""
+        split, cache = [self.words(text) for text in texts], self.cache
         new = list(set(chain.from_iterable(split)).difference(cache))
-        found = dict(zip(new, self.replay([w.encode() for w in new]), strict=True))
-        if len(new) <= CACHE_WORDS:
-            cache.update((w, ids) for w, ids in found.items() if len(w) <= 64)
-        both = cache if len(new) <= CACHE_WORDS and all(len(w) <= 64 for w in new) else {**cache, **found}
-        return [list(chain.from_iterable(map(both.__getitem__, words))) for words in split]
+        for start in range(0, len(new), REPLAY_WORDS):
+            part = new[start : start + REPLAY_WORDS]
+            cache.update(zip(part, self.replay([w.encode() for w in part]), strict=True))
+        ids = [list(chain.from_iterable(map(cache.__getitem__, words))) for words in split]
+        if len(cache) > CACHE_WORDS:  # the words met first are the frequent ones
+            for word in new:
+                del cache[word]
+        else:
+            for word in new:
+                if len(word) > 64:
+                    del cache[word]
+        return ids
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+class Vocabulary:
+    """Ranks as they are sent to executors; a worker keeps one coder, and its cache, between tasks."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self._coder: MergeReplay | None = None
+
+    def coder(self) -> MergeReplay:
+        if self._coder is None:
+            self._coder = MergeReplay(self.ranks)
+        return self._coder
+
+
 def encode_documents(
     docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", ids: bool = True
 ) -> DataFrame:
@@ -138,11 +186,11 @@ def encode_documents(
 
     The ranks (a vocabulary file of some MB) go to each executor once, as a broadcast variable.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
 
     def make():
-        coder = MergeReplay(shared.value)
+        coder = shared.value.coder()
         decimal = coder.decimal.__getitem__
         sha = lambda b: hashlib.sha256(b).hexdigest()
 

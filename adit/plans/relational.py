@@ -51,9 +51,9 @@ def proj_epoch_ms(spark, d):
     return events(spark, d).select("event_id", F.convert_timezone(F.lit(spark.conf.get("spark.sql.session.timeZone")), F.lit("UTC"), F.timestamp_millis(F.lit(1700000000000) + F.col("event_id") * 1001).cast("timestamp_ntz")).alias("at"))
 
 
-@R.add("proj_nullable_cast", "SELECT event_id, CASE WHEN event_id % 4 > 0 THEN event_id * 2 END AS twice FROM events")
+@R.add("proj_nullable_cast", "SELECT event_id, CASE WHEN event_id % 4 > 0 THEN (event_id * 2)::VARCHAR END AS twice FROM events")
 def proj_nullable_cast(spark, d):
-    return events(spark, d).select("event_id", (F.when(F.col("event_id") % 4 > 0, F.col("event_id")) * 2).alias("twice"))
+    return events(spark, d).select("event_id", (F.when(F.col("event_id") % 4 > 0, F.col("event_id")) * 2).cast("string").alias("twice"))
 
 
 @R.add("filter_plausible_ts", "SELECT count(*) AS kept FROM events WHERE (event_id % 10) * 200000000000 > 1000000000000")
@@ -202,7 +202,7 @@ def join_plate_compat(spark, d):
     return a.join(b, ["user_id", "day"]).where((F.col("a") < F.col("b")) & pairing.plates_agree(F.col("pa"), F.col("pb"))).select("a", "b")
 
 
-@R.add("join_calib_neighbors", f"WITH {_SENSED}, v AS (SELECT m.tunnel_id, (ms_m - ms_f) / 1000.0::DOUBLE * (m.speed + f.speed) / 2 / 3.6::DOUBLE AS half FROM m JOIN f ON m.tunnel_id = f.tunnel_id AND m.direction = f.direction AND m.lane = f.lane WHERE ms_f < ms_m AND ms_f >= ms_m - 60000) SELECT tunnel_id, (ln(half) / ln(1.01::DOUBLE))::DECIMAL(18,9)::DOUBLE // 1 AS bin, count(*) AS votes FROM v WHERE half BETWEEN 50 AND 12500 GROUP BY ALL")
+@R.add("join_calib_neighbors", f"WITH {_SENSED}, v AS (SELECT m.tunnel_id, (ms_m - ms_f) / 1000.0::DOUBLE * (m.speed + f.speed) / 2 / 3.6::DOUBLE AS half FROM m JOIN f ON m.tunnel_id = f.tunnel_id AND m.direction = f.direction AND m.lane = f.lane WHERE ms_f < ms_m AND ms_f >= ms_m - 60000) SELECT tunnel_id, floor((ln(half) / ln(1.01::DOUBLE))::DECIMAL(18,9)::DOUBLE) AS bin, count(*) AS votes FROM v WHERE half BETWEEN 50 AND 12500 GROUP BY ALL")
 def join_calib_neighbors(spark, d):
     s = sensed(spark, d)
     m = middles(s.withColumn("event_id", F.col("event_id"))).join(s.select(F.col("event_id").alias("m"), F.col("speed").alias("speed_m")), "m")
@@ -221,11 +221,11 @@ def join_map_lookup(spark, d):
     return v.join(events(spark, d).select(i.alias("member"), "event_type"), "member").select("event_id", "member", "event_type")
 
 
-@R.add("join_by_field_outer", "SELECT coalesce(a.user_id, b.user_id) AS pod, clicks, errors FROM (SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' AND user_id % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' AND user_id % 3 = 0 GROUP BY 1) b USING (user_id)")
+@R.add("join_by_field_outer", "SELECT coalesce(a.user_id, b.user_id) AS pod, clicks::DOUBLE AS clicks, errors::DOUBLE AS errors FROM (SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' AND user_id % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' AND user_id % 3 = 0 GROUP BY 1) b USING (user_id)")
 def join_by_field_outer(spark, d):
     e = events(spark, d)
-    a = e.where("event_type = 'click' AND user_id % 2 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).alias("clicks"))
-    b = e.where("event_type = 'error' AND user_id % 3 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).alias("errors"))
+    a = e.where("event_type = 'click' AND user_id % 2 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).cast("double").alias("clicks"))
+    b = e.where("event_type = 'error' AND user_id % 3 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).cast("double").alias("errors"))
     return a.join(b, "pod", "full_outer")
 
 
@@ -286,10 +286,10 @@ def agg_ratio_guarded(spark, d):
     return events(spark, d).groupBy("user_id").agg(ratio(of("error"), of("click")).alias("share"))
 
 
-@R.add("agg_weighted_avg", "SELECT l_shipmode, round((sum(l_quantity * l_extendedprice) / greatest(sum(l_quantity), 1))::DOUBLE, 3) AS price FROM lineitem GROUP BY 1")
+@R.add("agg_weighted_avg", "SELECT l_returnflag, round((sum(l_quantity * l_extendedprice) / greatest(sum(l_quantity), 1))::DOUBLE, 3) AS price FROM lineitem GROUP BY 1")
 def agg_weighted_avg(spark, d):
     q, p = F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double")
-    return read(spark, d, "lineitem").groupBy("l_shipmode").agg(F.round(F.sum(q * p) / F.greatest(F.sum(q), F.lit(1.0)), 3).alias("price"))
+    return read(spark, d, "lineitem").groupBy("l_returnflag").agg(F.round(F.sum(q * p) / F.greatest(F.sum(q), F.lit(1.0)), 3).alias("price"))
 
 
 @R.add("agg_uniq_exact", "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
@@ -407,7 +407,7 @@ def agg_agreement(spark, d):
     return votes(spark, d).select("vehicle", (F.size(F.filter("ks", lambda k: k == won)) / F.col("n")).alias("agreement"))
 
 
-@R.add("agg_vote_histogram", "WITH b AS (SELECT user_id % 6 AS tunnel, (value // 10)::INT AS bin, count(*) AS n FROM events GROUP BY ALL), w AS (SELECT tunnel, bin, sum(n) OVER (PARTITION BY tunnel ORDER BY bin RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS votes FROM b) SELECT tunnel, max(votes)::BIGINT AS votes, arg_max(bin, (votes, -bin)) AS peak FROM w GROUP BY 1")
+@R.add("agg_vote_histogram", "WITH b AS (SELECT user_id % 6 AS tunnel, floor(value / 10)::INT AS bin, count(*) AS n FROM events GROUP BY ALL), w AS (SELECT tunnel, bin, sum(n) OVER (PARTITION BY tunnel ORDER BY bin RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS votes FROM b) SELECT tunnel, max(votes)::BIGINT AS votes, arg_max(bin, (votes, -bin)) AS peak FROM w GROUP BY 1")
 def agg_vote_histogram(spark, d):
     b = events(spark, d).groupBy((F.col("user_id") % 6).alias("tunnel"), F.floor(F.col("value") / 10).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     w = b.withColumn("votes", F.sum("n").over(W.partitionBy("tunnel").orderBy("bin").rangeBetween(-3, 3)))
@@ -508,7 +508,7 @@ def fn_conditional(spark, d):
     return events(spark, d).select("event_id", F.when(F.col("event_type").isin("click", "view"), 1).otherwise(0).alias("seen"), F.col("value").between(10, 20).alias("low"))
 
 
-@R.add("fn_array", "SELECT event_id, len(x) AS n, list_max(x) AS top, list_sum(x)::BIGINT AS total, x[-1] AS last, array_to_string(list_filter(['start', 'middle', 'end'], p -> p <> (['start', 'middle', 'end'])[event_id % 3 + 1]), ',') AS missing FROM (SELECT event_id, [event_id, event_id % 7, event_id % 11] AS x FROM events)")
+@R.add("fn_array", "SELECT event_id, len(x) AS n, list_max(x) AS top, list_sum(x)::BIGINT AS total, x[-1] AS last, array_to_string(list_filter(['start', 'middle', 'end'], lambda p: p <> (['start', 'middle', 'end'])[event_id % 3 + 1]), ',') AS missing FROM (SELECT event_id, [event_id, event_id % 7, event_id % 11] AS x FROM events)")
 def fn_array(spark, d):
     i = F.col("event_id")
     x = F.array(i, i % 7, i % 11)

@@ -30,7 +30,8 @@ from adit.llm.common import checkpointed, table, text_of
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
-    "card": r"[0-9](?:[ -]?+[0-9])++",
+    # shorter runs of digits never count; a run starts where no digit, alone or with one separator, stands before
+    "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?+[0-9]){12,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
@@ -41,6 +42,7 @@ SHARE = 0.5
 REMOVE = 0.9
 BITS = 3.0
 BROADCAST_ROWS = 50_000
+SLICE = 256
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -77,16 +79,30 @@ def holds(kind: str, value: Column) -> Column:
 
 
 def located(found: Column, pieces: Column) -> Column:
-    """Matches with their places, from the matches and the pieces of the text between them."""
-    steps = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.length(F.get(pieces, i)).alias("gap")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    """Matches with their places, from the matches and the pieces of the text between them.
+
+    Lengths are added up within slices of ``SLICE`` matches and then over slices, as an array
+    that grows one by one would cost the square of its size.
+    """
+    span = lambda start, m: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
 
-    def add(acc: Column, x: Column) -> Column:
+    def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))).alias("spans"))
+        return F.struct((start + F.length(x["m"])).alias("at"), F.array_append(acc["spans"], span(start, x["m"])).alias("spans"))
 
-    return F.aggregate(steps, begin, add, lambda acc: acc["spans"])
+    def shifted(acc: Column, part: Column) -> Column:
+        moved = F.transform(part["spans"], lambda s: span(s["start"] + acc["at"], s["value"]))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.array_append(acc["parts"], moved).alias("parts"))
+
+    def places(steps: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1)), F.lit(SLICE))
+        parts = F.transform(firsts, lambda k: F.aggregate(F.slice(steps, k, F.lit(SLICE)), nothing, step))
+        whole = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("parts"))
+        return F.aggregate(parts, whole, shifted, lambda acc: F.flatten(acc["parts"]))
+
+    steps = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.length(F.get(pieces, i)).alias("gap")))
+    return F.get(F.transform(F.array(steps), places), F.lit(0))  # binds the steps: computed once
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,33 +124,44 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{LETTERS},}}+"), F.lit(0))
 
 
-def disclosing_terms(
-    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Terms that disclose entities, and the documents that hold them.
+def contexts_of(rows: DataFrame) -> DataFrame:
+    """``doc_id, digest, entity, context, terms``: each mention of an entity with the words around it.
 
-    ``rows`` as from ``base_spans``. Gives ``term, entity, share, bits, removed`` and, for each
-    document with such a term, ``doc_id, digest, term``.
+    ``rows`` as from ``base_spans``. Words cut by the edge of the window are left out.
     """
     spans = F.flatten(F.array(*[F.transform(F.col(k), _for(k, lambda k, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit(f"{k}:"), F.lower(s["value"])).alias("entity")))) for k in KINDS]))
     near = rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
     near = near.select("doc_id", F.xxhash64("text").alias("digest"), "text", F.explode(spans).alias("s"))
     left_from = F.greatest(F.col("s.start") - NEAR, F.lit(0))
-    # words cut by the edge of the window are left out
     left = F.regexp_replace(F.substring("text", left_from + 1, F.col("s.start") - left_from), r"^\p{L}+", "")
     right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(NEAR)), r"\p{L}+$", "")
     near = near.select("doc_id", "digest", "s.entity", F.array_distinct(F.concat(words(left), words(right))).alias("terms"))
-    near = near.withColumn("context", F.xxhash64(F.array_sort("terms")))
+    return near.withColumn("context", F.xxhash64(F.array_sort("terms")))
+
+
+def disclosing_terms(
+    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Terms that disclose entities, and the documents that hold them.
+
+    ``rows`` as from ``base_spans``; they are read twice, once for the contexts of entities and
+    once for the words of all documents. Gives ``term, entity, share, bits, removed`` and, for
+    each document with such a term, ``doc_id, digest, term``.
+    """
+    near = checkpointed(contexts_of(rows))
     pairs = near.select("doc_id", "digest", "entity", "context", F.explode("terms").alias("term"))
-    seen = pairs.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("one").alias("contexts"))
-    held = pairs.groupBy("entity", "term", "doc_id", "digest").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("one").alias("n_et"))
-    candidates = checkpointed(seen.where(F.col("contexts") >= contexts).join(held, ["entity", "term"]))
+    # a term with one context only cannot disclose: dropped before documents are counted
+    seen = pairs.groupBy("entity", "term").agg(F.min("context").alias("low"), F.max("context").alias("high"))
+    several = seen.where("low <> high").select("entity", "term")
+    kept = checkpointed(pairs.join(several, ["entity", "term"]))
+    counted = kept.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("doc_id", "digest").alias("n_et"))
+    candidates = checkpointed(counted.where(F.col("contexts") >= contexts))
     terms = candidates.select("term").distinct()
     few = terms.limit(broadcast_rows + 1).count() <= broadcast_rows
     each = rows.select("doc_id", F.xxhash64("text").alias("digest"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     holding = checkpointed(each.join(F.broadcast(terms) if few else terms, "term", "left_semi"))
     n_t = holding.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_e = near.groupBy("entity", "doc_id", "digest").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("one").alias("n_e"))
+    n_e = near.groupBy("entity").agg(F.countDistinct("doc_id", "digest").alias("n_e"))
     total = rows.agg(F.count(F.lit(1)).alias("total"))
     judged = candidates.join(n_t, "term").join(n_e, "entity").crossJoin(F.broadcast(total))  # one row
     p = F.col("n_et") / F.col("n_t")
@@ -156,23 +183,21 @@ def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast
     of_doc = of_doc.withColumnsRenamed({"doc_id": "of_id", "digest": "of_digest"})
     texts = rows.withColumn("digest", F.xxhash64("text"))
     both = texts.join(F.broadcast(of_doc) if few else of_doc, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")))
-    run = rf"(?i)\p{{L}}{{{LETTERS},}}+"
-    both = both.withColumn("found", F.regexp_extract_all("text", F.lit(run), F.lit(0)))
-    # every word with its place, then those that are wanted: rows, not arrays, as texts may be long
-    both = both.withColumn("pieces", F.split("text", run, -1)).withColumn("whole", F.concat(*[F.col(k) for k in KINDS]))
-    both = both.groupBy("doc_id", "digest").agg(*[F.first(c).alias(c) for c in ("text", "wanted", "found", "pieces", "whole")])
-    placed = F.transform(F.filter(located(F.col("found"), F.col("pieces")), lambda s: F.exists("wanted", lambda w: w["term"] == F.lower(s["value"]))), lambda s: s)
-    clear = F.filter(placed, lambda s: ~F.exists("whole", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    label = lambda s: F.when(F.exists("wanted", lambda w: (w["term"] == F.lower(s["value"])) & w["removed"]), "").otherwise("[TERM]")
-    marked = F.transform(clear, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label(s).alias("value")))
-    return both.select("doc_id", "digest", marked.alias("terms")).where(F.size("terms") > 0)
+    # one row for each term of a document, so that only its own places are looked for
+    both = both.select("doc_id", "digest", "text", F.concat(*[F.col(k) for k in KINDS]).alias("base"), F.explode("wanted").alias("w"))
+    both = both.withColumn("run", F.concat(F.lit(r"(?iu)(?<!\p{L})"), F.col("w.term"), F.lit(r"(?!\p{L})")))
+    placed = located(F.regexp_extract_all("text", F.col("run"), F.lit(0)), F.split("text", F.col("run"), -1))
+    clear = F.filter(placed, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    by = F.when(F.col("w.removed"), "").otherwise("[TERM]")
+    found = both.select("doc_id", "digest", F.explode(clear).alias("s"), by.alias("by")).select("doc_id", "digest", F.struct("s.start", "s.end", F.col("by").alias("value")).alias("t"))
+    return found.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("t")).alias("terms"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """``doc_id, text, email, ip, card, phone, term``: all spans of every row."""
     rows = base_spans(docs, id_col, text_col)
     extra = term_spans(rows, *disclosing_terms(rows, **thresholds))
-    extra = extra.select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), F.col("terms").alias("term"))
+    extra = checkpointed(extra.select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), F.col("terms").alias("term")))
     few = extra.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_digest"))
     both = rows.join(F.broadcast(extra) if few else extra, same, "left")

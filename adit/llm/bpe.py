@@ -76,7 +76,7 @@ class MergeReplay:
         at = np.flatnonzero(rank >= 0)
         at = at[np.argsort(rank[at], kind="stable")]
         ranks, first = np.unique(rank[at], return_index=True)
-        upto, places = [*first.tolist()[1:], len(at)], at.tolist()
+        upto, places = np.append(first, len(at)).tolist()[1:], at.tolist()
         return {r: places[i:j] for r, i, j in zip(ranks.tolist(), first.tolist(), upto, strict=True)}
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:

@@ -5,7 +5,7 @@ carried as one from there on. Candidates meet without a cross join: the 64 bits
 blocks, and two linked fingerprints agree on one block at least; the other 48 bits fall into
 four again, so they agree on one of 16 masks of 28 bits. A bucket of a mask with more than
 ``MAX_BUCKET`` distinct fingerprints is split by the same rule as often as needed (to 37, 44, 49
-bits and on, which bounds any bucket), so no link is lost. Inside a bucket, fingerprints lie
+and 53 bits, where 2**12 fingerprints are all there can be), so no link is lost. Inside a bucket, fingerprints lie
 vertically, one machine word holding one bit of 64 of them; carry-save counters add up the
 differences of 64 fingerprints at a time, and a block is abandoned once all its lanes exceed the
 radius. A bucket sends out links to its local roots only, never all pairs; components are then
@@ -29,6 +29,7 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 MAX_BUCKET = 4096
+MOST_LEVELS = 6  # leaves 12 bits free at most, so 4096 distinct fingerprints in a bucket
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _COLUMN = (np.arange(8) * 256)[None, :]
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -167,10 +168,11 @@ def links(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKE
     while True:
         shared = keyed.groupBy("path", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = checkpointed(keyed.join(shared, ["path", "bits"]))
-        cold = members.where(F.col("n") <= max_bucket).groupBy("path", "bits").agg(F.collect_list("fp").alias("fps"))
+        small = F.lit(level >= MOST_LEVELS) | (F.col("n") <= max_bucket)
+        cold = members.where(small).groupBy("path", "bits").agg(F.collect_list("fp").alias("fps"))
         here = map_rows(cold.select("fps"), "a long, b long", _bucket_links(radius), chars=400_000)
         found = here if found is None else found.unionByName(here)
-        hot = members.where(F.col("n") > max_bucket)
+        hot = members.where(~small)
         if hot.isEmpty():
             return found.distinct()
         level += 1

@@ -148,5 +148,9 @@ def validated(raw: DataFrame, value: str = "value", now_ms: Column | None = None
 
 
 def split_3way(checked: DataFrame) -> dict[str, DataFrame]:
-    """The three outputs, keyed by tunnel: what each topic or table gets."""
+    """The three outputs, keyed by tunnel: what each topic or table gets.
+
+    ``checked`` should be persisted: it is read three times, and filters on its kind would
+    otherwise be pushed below the parsing and repeat it for every check.
+    """
     return {kind: checked.where(F.col("kind") == kind).select("key", F.col("record").alias("value")) for kind in ("detection", "health", "rejected")}

@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -22,7 +23,7 @@ def duck():
 
 def plain(frame):
     def cell(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return None
         if isinstance(x, float):
             return round(x, 6) if math.isfinite(x) else str(x)

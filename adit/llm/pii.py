@@ -42,6 +42,7 @@ SHARE = 0.5
 REMOVE = 0.9
 BITS = 3.0
 BROADCAST_ROWS = 50_000
+BROADCAST_TERMS = 300_000
 SLICE = 256
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -140,12 +141,12 @@ def contexts_of(rows: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(
-    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_TERMS
 ) -> tuple[DataFrame, DataFrame]:
     """Terms that disclose entities, and the documents that hold them.
 
-    ``rows`` as from ``base_spans``; they are read twice, once for the contexts of entities and
-    once for the words of all documents. Gives ``term, entity, share, bits, removed`` and, for
+    ``rows`` as from ``base_spans``; they are read for the contexts of entities, for counts of the
+    candidate terms over all documents, and for the documents that hold a disclosing term. Gives ``term, entity, share, bits, removed`` and, for
     each document with such a term, ``doc_id, digest, term``.
     """
     near = checkpointed(contexts_of(rows))
@@ -159,8 +160,12 @@ def disclosing_terms(
     terms = candidates.select("term").distinct()
     few = terms.limit(broadcast_rows + 1).count() <= broadcast_rows
     each = rows.select("doc_id", F.xxhash64("text").alias("digest"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    holding = checkpointed(each.join(F.broadcast(terms) if few else terms, "term", "left_semi"))
-    n_t = holding.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # counts only, combined in each task: common terms stand in most documents
+    if few:
+        n_t = each.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    else:
+        n_t = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
+    n_t = checkpointed(n_t)
     n_e = near.groupBy("entity").agg(F.countDistinct("doc_id", "digest").alias("n_e"))
     total = rows.agg(F.count(F.lit(1)).alias("total"))
     judged = candidates.join(n_t, "term").join(n_e, "entity").crossJoin(F.broadcast(total))  # one row
@@ -168,7 +173,9 @@ def disclosing_terms(
     judged = judged.select("term", "entity", p.alias("share"), F.log2(p * F.col("total") / F.col("n_e")).alias("bits"))
     judged = judged.where((F.col("share") >= share) & (F.col("bits") >= bits)).withColumn("removed", F.col("share") >= REMOVE)
     judged = checkpointed(judged)
-    return judged, holding.join(judged.select("term").distinct(), "term", "left_semi")
+    disclosing = judged.select("term").distinct()
+    few = disclosing.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return judged, each.join(F.broadcast(disclosing) if few else disclosing, "term", "left_semi")
 
 
 def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -2,8 +2,10 @@
 
 The words of many documents are laid out once, each distinct word once. An inverted index maps
 every pair of neighbouring tokens (by the rank of what they merge into) to the positions where
-it stands; merges are applied in rank order at all listed positions, and each merge touches only
-its two neighbours. A word of any length so costs about its length, not its square.
+it stands; merges are applied in rank order at all listed positions at once, by array operations,
+and each merge touches only its two neighbours. A word of any length so costs about its length, not
+its square. Where a merge makes a pair of lower rank (which trained ranks hardly ever do) the word
+is merged alone, by a queue of its pairs.
 
 Defined results: a null text is an empty one and has no tokens; texts are taken whole; repeated
 rows give equal rows; an empty table gives an empty result.
@@ -27,7 +29,7 @@ from adit.llm.common import map_rows, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CACHE_WORDS = 400_000
-REPLAY_WORDS = 10_000  # laid out at once: small enough for a processor's cache
+REPLAY_WORDS = 200_000  # laid out at once: many, as each rank costs some array operations
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,27 +59,39 @@ class MergeReplay:
         self.one = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         #: what two neighbouring bytes merge into, or -1
         self.pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int64)
-        self.merged: dict[int, int] = {}
+        split = [(a, b, r) for t, r in ranks.items() for k in range(1, len(t)) if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None]
+        merges = np.array(split, np.int64).reshape(-1, 3)
+        #: by left token: where its merges begin, their right tokens in order, what they give; and by right token
+        self.after = self._partners(merges[:, 0], merges[:, 1], merges[:, 2])
+        self.before = self._partners(merges[:, 1], merges[:, 0], merges[:, 2])
         self.cache: dict[str, tuple[int, ...]] = {}
 
-    def look_up(self, pair: int) -> int:
-        """The rank of what a pair (left * 65536 + right) merges into, or -1; remembered."""
-        left, right = divmod(pair, 65_536)
-        found = -1 if left == _END or right == _END else self.ranks.get(self.token[left] + self.token[right], -1)
-        if len(self.merged) > 1_000_000:
-            self.merged.clear()
-        self.merged[pair] = found
-        return found
-
-    def index(self, data: np.ndarray, ends: np.ndarray) -> dict[int, list[int]]:
-        """The inverted index: for each rank the places whose byte and its next one merge into it."""
-        rank = self.pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
-        rank[ends[:-1] - 1] = -1  # not across words
+    def _partners(self, key: np.ndarray, partner: np.ndarray, rank: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+        order = np.lexsort((partner, key))
+        return np.searchsorted(key[order], np.arange(max(self.token, default=0) + 2)).tolist(), partner[order], rank[order]
+
+    @staticmethod
+    def _found(partners: tuple[list[int], np.ndarray, np.ndarray], token: int, other: np.ndarray) -> np.ndarray | None:
+        """What ``token`` and each of ``other`` merge into, or -1; None if the token merges with nothing."""
+        low, high = partners[0][token], partners[0][token + 1]
+        if low == high:
+            return None
+        known = partners[1][low:high]
+        i = known.searchsorted(other)
+        i[i == high - low] = 0
+        return np.where(known[i] == other, partners[2][low:high][i], -1)
+
+    def index(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[int, list[int]]]:
+        """For each place the rank of what its byte and the next one merge into, or -1; and the
+        inverted index: for each rank the places where it stands."""
+        rank = np.full(len(data) + 1, -1)
+        rank[: len(data) - 1] = self.pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
+        rank[ends - 1] = -1  # not across words
         at = np.flatnonzero(rank >= 0)
         at = at[np.argsort(rank[at], kind="stable")]
         ranks, first = np.unique(rank[at], return_index=True)
         upto, places = np.append(first, len(at)).tolist()[1:], at.tolist()
-        return {r: places[i:j] for r, i, j in zip(ranks.tolist(), first.tolist(), upto, strict=True)}
+        return rank, {r: places[i:j] for r, i, j in zip(ranks.tolist(), first.tolist(), upto, strict=True)}
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The tokens of each word. Words that are tokens themselves stay whole."""
@@ -87,63 +101,92 @@ class MergeReplay:
             return [(rank,) for rank in whole]
         data = np.frombuffer(b"".join(parts), np.uint8)
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-        n = len(data)
-        after, before = np.arange(1, n + 1), np.arange(-1, n)
+        n, nowhere = len(data), -1
+        tokens = np.append(self.one[data], _END)
+        after, before = np.append(np.arange(1, n + 1), n), np.arange(-1, n)  # place n lies beside all words
         after[ends - 1] = n
         before[ends] = n
         before[0] = n
-        tokens, after, before = [*self.one[data].tolist(), _END], after.tolist(), before.tolist()
-        places, look_up, known = self.index(data, ends), self.look_up, self.merged.get
-        queue = list(places)
+        rank, places = self.index(data, ends)
+        queue, apart = list(places), set()
         heapq.heapify(queue)
         while queue:
-            rank = heapq.heappop(queue)
-            todo = places.pop(rank)
-            todo.sort()
-            for k, at in enumerate(todo):
-                token = tokens[at]
-                if token < 0:
-                    continue  # has become part of its left neighbour
-                right = after[at]
-                pair = token * 65_536 + tokens[right]
-                found = known(pair)
-                if (look_up(pair) if found is None else found) != rank:
-                    continue  # a neighbour has changed since
-                tokens[at], tokens[right] = rank, -1
-                after[at] = far = after[right]
-                before[far] = at
-                left, earlier = before[at], False
-                pair = tokens[left] * 65_536 + rank
-                new = known(pair)
-                if (look_up(pair) if new is None else new) >= 0:
-                    new = known(pair)
-                    if new in places:
-                        places[new].append(left)
-                    else:
-                        places[new] = [left]
-                        heapq.heappush(queue, new)
-                    earlier = new <= rank
-                pair = rank * 65_536 + tokens[far]
-                new = known(pair)
-                if (look_up(pair) if new is None else new) >= 0:
-                    new = known(pair)
-                    if new in places:
-                        places[new].append(at)
-                    else:
-                        places[new] = [at]
-                        heapq.heappush(queue, new)
-                    earlier = earlier or new <= rank
-                if earlier:  # that merge comes before the rest of these
-                    if rank not in places:
-                        places[rank] = []
-                        heapq.heappush(queue, rank)
-                    places[rank].extend(todo[k + 1 :])
-                    break
-        left_over = np.array(tokens[:n])
-        alive = left_over >= 0
-        ids, upto = left_over[alive].tolist(), np.concatenate(([0], np.cumsum(alive)[ends - 1])).tolist()
-        spans = iter(zip(upto, upto[1:], strict=False))
-        return [(rank,) if rank is not None else tuple(ids[slice(*next(spans))]) for rank in whole]
+            r = heapq.heappop(queue)
+            at = np.array(places.pop(r))
+            at = at[rank[at] == r]  # else a neighbour has changed since
+            if not len(at):
+                continue
+            at.sort()
+            right = after[at]
+            shared = right[:-1] == at[1:]
+            if shared.any():  # of a run of overlapping pairs every other one, from the left
+                each = np.arange(len(at))
+                first = np.maximum.accumulate(np.where(np.append(True, ~shared), each, 0))
+                chosen = (each - first) % 2 == 0
+                at, right = at[chosen], right[chosen]
+            far = after[right]
+            beside = tokens[far]
+            tokens[at] = r
+            after[at] = far
+            before[far] = at
+            left = before[at]
+            tokens[right] = nowhere
+            rank[right] = rank[at] = rank[left] = nowhere
+            touched, made = [], []
+            follow = self._found(self.after, r, tokens[far])
+            if follow is not None:
+                rank[at] = follow
+                touched, made = at[follow >= 0].tolist(), follow[follow >= 0].tolist()
+                if len(at) > 1:  # the neighbour as it was when this pair merged
+                    then = self._found(self.after, r, beside)
+                    early = at[(then >= 0) & (then <= r)]
+                    touched, made = touched + early.tolist(), made + then[(then >= 0) & (then <= r)].tolist()
+            lead = self._found(self.before, r, tokens[left])
+            if lead is not None:
+                new = (lead >= 0) & (tokens[left] != r)  # two new neighbours: found above
+                rank[left[new]] = lead[new]
+                touched, made = touched + left[new].tolist(), made + lead[new].tolist()
+            for place, becomes in zip(touched, made, strict=True):
+                if becomes <= r:  # that merge comes before the rest of these: such words are merged alone
+                    word = int(np.searchsorted(ends, place, "right"))
+                    apart.add(word)
+                    rank[ends[word - 1] if word else 0 : ends[word]] = nowhere
+                elif becomes in places:
+                    places[becomes].append(place)
+                else:
+                    places[becomes] = [place]
+                    heapq.heappush(queue, becomes)
+        alive = tokens[:n] >= 0
+        ids, upto = tokens[:n][alive].tolist(), np.concatenate(([0], np.cumsum(alive)[ends - 1])).tolist()
+        merged = [tuple(ids[i:j]) for i, j in zip(upto, upto[1:], strict=False)]
+        for word in apart:
+            merged[word] = self.merge_alone(parts[word])
+        rest = iter(merged)
+        return [(r,) if r is not None else next(rest) for r in whole]
+
+    def merge_alone(self, word: bytes) -> tuple[int, ...]:
+        """The tokens of one word: always the pair of lowest rank, then the leftmost, by a queue of pairs."""
+        n = len(word)
+        parts, after, before = [word[i : i + 1] for i in range(n)], list(range(1, n + 1)), list(range(-1, n - 1))
+        queue: list[tuple[int, int, bytes, bytes]] = []
+
+        def offer(i: int) -> None:
+            if 0 <= i and after[i] < n and (r := self.ranks.get(parts[i] + parts[after[i]])) is not None:
+                heapq.heappush(queue, (r, i, parts[i], parts[after[i]]))
+
+        for i in range(n):
+            offer(i)
+        while queue:
+            _, i, a, b = heapq.heappop(queue)
+            if parts[i] != a or after[i] >= n or parts[after[i]] != b:
+                continue
+            gone = after[i]
+            parts[i], parts[gone], after[i] = a + b, b"", after[gone]
+            if after[i] < n:
+                before[after[i]] = i
+            offer(i)
+            offer(before[i])
+        return tuple(self.ranks[p] for p in parts if p)
 
     def encode(self, texts: Iterable[str]) -> list[list[int]]:
         """The ids of every text. Words met before come from a cache of bounded size."""

@@ -41,6 +41,28 @@ def test_merges_in_rank_order_when_a_later_merge_ranks_lower():
         assert coder.encode([word]) == [one.encode_ordinary(word)]
 
 
+def test_ranks_in_any_order():
+    alone = 0
+    for seed in range(20):
+        rng = random.Random(seed)
+        longer = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 6))) for _ in range(90)})
+        rng.shuffle(longer)
+        ranks = {t: i for i, t in enumerate([bytes([b]) for b in range(256)] + longer)}
+        coder = bpe.MergeReplay(ranks)
+        one = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        merge_alone = coder.merge_alone
+
+        def counted(word, merge_alone=merge_alone):
+            nonlocal alone
+            alone += 1
+            return merge_alone(word)
+
+        coder.merge_alone = counted
+        texts = ["".join(rng.choice("abc ") for _ in range(60)) for _ in range(60)]
+        assert coder.encode(texts) == list(map(one.encode_ordinary, texts))
+    assert alone
+
+
 def test_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
     coder = bpe.MergeReplay(RANKS)

@@ -1,13 +1,14 @@
 r"""Personal data, and the terms that give it away.
 
 Patterns find e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers in whole
-texts. Beyond them, terms are protected by what they disclose: where a term stands near an entity
-(a concrete address or number) in several different contexts, and most documents of the corpus
-that hold the term hold that entity, reading the term tells the entity. The disclosure of entity
-e by term t is estimated from counts over all documents: the share P(e|t) = n(e,t) / n(t) and the
-pointwise information log2(P(e|t) / P(e)). A term beyond both thresholds is a span wherever it
-stands: removed if P(e|t) is at least ``REMOVE``, else generalised. Copies of one context count
-as one piece of evidence.
+texts. Beyond them, terms (runs of letters and digits of any length, outside those spans) are
+protected by what they disclose: where a term and an entity (a concrete address or number) stand
+anywhere in the same text, in several different texts, and most documents of the corpus that hold
+the term hold that entity, reading the term tells the entity. The disclosure of entity e by term t
+is estimated from counts over all documents, a row counting as one in each of them: the share
+P(e|t) = n(e,t) / n(t) and the pointwise information log2(P(e|t) / P(e)). A term beyond both
+thresholds is a span wherever it stands: removed if P(e|t) is at least ``REMOVE``, else
+generalised. Copies of one text alone are no evidence; scripts without spaces give long runs.
 
 Everything is DataFrame expressions. Positions come from splitting a text at the matches and
 adding up lengths. Patterns use possessive runs, so a long run of letters or digits costs its
@@ -35,8 +36,7 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
-NEAR = 80
-LETTERS = 4
+RUN = r"[\p{L}\p{M}\p{N}]++"
 CONTEXTS = 2
 SHARE = 0.5
 REMOVE = 0.9
@@ -121,23 +121,31 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def words(text: Column) -> Column:
-    """Lower-case runs of at least ``LETTERS`` letters."""
-    return F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{LETTERS},}}+"), F.lit(0))
+    """Runs of letters, marks and digits, of any length."""
+    return F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
 
 
-def contexts_of(rows: DataFrame) -> DataFrame:
-    """``doc_id, digest, entity, context, terms``: each mention of an entity with the words around it.
+def masked() -> Column:
+    """The text with its base spans turned to spaces, so that places stay what they are."""
+    spans = F.array_sort(F.concat(*[F.col(k) for k in KINDS]))
 
-    ``rows`` as from ``base_spans``. Words cut by the edge of the window are left out.
-    """
-    spans = F.flatten(F.array(*[F.transform(F.col(k), _for(k, lambda k, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit(f"{k}:"), F.lower(s["value"])).alias("entity")))) for k in KINDS]))
-    near = rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
-    near = near.select("doc_id", F.xxhash64("text").alias("digest"), "text", F.explode(spans).alias("s"))
-    left_from = F.greatest(F.col("s.start") - NEAR, F.lit(0))
-    left = F.regexp_replace(F.substring("text", left_from + 1, F.col("s.start") - left_from), r"^\p{L}+", "")
-    right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(NEAR)), r"\p{L}+$", "")
-    near = near.select("doc_id", "digest", "s.entity", F.array_distinct(F.concat(words(left), words(right))).alias("terms"))
-    return near.withColumn("context", F.xxhash64(F.array_sort("terms")))
+    def add(acc: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
+        gap = F.substring("text", acc["at"] + 1, start - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], gap, F.repeat(F.lit(" "), end - start)).alias("out"))
+
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
+    return F.when(F.size(spans) > 0, done).otherwise(F.col("text"))
+
+
+def terms_of_text() -> Column:
+    """The distinct words of a text outside its base spans, in lower case."""
+    return F.array_distinct(F.transform(words(masked()), F.lower))
+
+
+def entities() -> Column:
+    """The distinct entities of a text."""
+    return F.array_distinct(F.flatten(F.array(*[F.transform(F.col(k), _for(k, lambda k, s: F.concat(F.lit(f"{k}:"), F.lower(s["value"])))) for k in KINDS])))
 
 
 def disclosing_terms(
@@ -145,70 +153,78 @@ def disclosing_terms(
 ) -> tuple[DataFrame, DataFrame]:
     """Terms that disclose entities, and the documents that hold them.
 
-    ``rows`` as from ``base_spans``; they are read for the contexts of entities, for counts of the
-    candidate terms over all documents, and for the documents that hold a disclosing term. Gives ``term, entity, share, bits, removed`` and, for
-    each document with such a term, ``doc_id, digest, term``.
+    ``rows`` as from ``base_spans``; they are read for the counts of entities, of entities and
+    terms together, of the candidate terms, and for the documents that hold a disclosing term. All
+    counts are of rows. Gives ``term, entity, share, bits, removed`` and, for each document with
+    such a term, ``doc_id, digest, term``.
     """
-    near = checkpointed(contexts_of(rows))
-    pairs = near.select("doc_id", "digest", "entity", "context", F.explode("terms").alias("term"))
-    # a term with one context only cannot disclose: dropped before documents are counted
-    seen = pairs.groupBy("entity", "term").agg(F.min("context").alias("low"), F.max("context").alias("high"))
-    several = seen.where("low <> high").select("entity", "term")
-    kept = checkpointed(pairs.join(several, ["entity", "term"]))
-    counted = kept.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("doc_id", "digest").alias("n_et"))
-    candidates = checkpointed(counted.where(F.col("contexts") >= contexts))
+
+    def semi(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+        few = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
+        return df.join(F.broadcast(wanted) if few else wanted, key, "left_semi")
+
+    digest = F.xxhash64("text").alias("digest")
+    evidence = [F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")]
+    holds_any = rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
+    n_e = checkpointed(holds_any.select(digest, F.explode(entities()).alias("entity")).groupBy("entity").agg(*evidence).withColumnRenamed("n", "n_e"))
+    # what stands in one text only has one piece of evidence: dropped before its terms are listed
+    several = (F.col("low") != F.col("high")) if contexts > 1 else F.lit(True)
+    mentions = holds_any.select(digest, terms_of_text().alias("terms"), F.explode(entities()).alias("entity"))
+    pairs = semi(mentions, n_e.where(several).select("entity"), "entity").select("digest", "entity", F.explode("terms").alias("term"))
+    # counts only, combined in each task: common terms stand in most documents
+    candidates = checkpointed(pairs.groupBy("entity", "term").agg(*evidence).where(several).select("entity", "term", F.col("n").alias("n_et")))
     terms = candidates.select("term").distinct()
     few = terms.limit(broadcast_rows + 1).count() <= broadcast_rows
-    each = rows.select("doc_id", F.xxhash64("text").alias("digest"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    # counts only, combined in each task: common terms stand in most documents
+    each = rows.select("doc_id", digest, F.explode(terms_of_text()).alias("term"))
     if few:
         n_t = each.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     else:
         n_t = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
     n_t = checkpointed(n_t)
-    n_e = near.groupBy("entity").agg(F.countDistinct("doc_id", "digest").alias("n_e"))
     total = rows.agg(F.count(F.lit(1)).alias("total"))
-    judged = candidates.join(n_t, "term").join(n_e, "entity").crossJoin(F.broadcast(total))  # one row
+    judged = candidates.join(n_t, "term").join(n_e.select("entity", "n_e"), "entity").crossJoin(F.broadcast(total))  # one row
     p = F.col("n_et") / F.col("n_t")
     judged = judged.select("term", "entity", p.alias("share"), F.log2(p * F.col("total") / F.col("n_e")).alias("bits"))
     judged = judged.where((F.col("share") >= share) & (F.col("bits") >= bits)).withColumn("removed", F.col("share") >= REMOVE)
     judged = checkpointed(judged)
-    disclosing = judged.select("term").distinct()
-    few = disclosing.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return judged, each.join(F.broadcast(disclosing) if few else disclosing, "term", "left_semi")
+    if contexts > 2:
+        texts = pairs.join(judged.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.countDistinct("digest").alias("texts"))
+        judged = checkpointed(judged.join(texts.where(F.col("texts") >= contexts).select("entity", "term"), ["entity", "term"], "left_semi"))
+    return judged, semi(each, judged.select("term").distinct(), "term")
 
 
-def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``doc_id, digest, terms``: the places of disclosing terms outside base spans.
+def with_terms(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` and ``term``: the places of disclosing terms outside base spans.
 
-    ``terms`` has ``start, end, value``; the value is the replacement, empty for a removed term.
+    ``term`` has ``start, end, value``; the value is the replacement, empty for a removed term.
     """
     of_doc = holding.join(judged.groupBy("term").agg(F.max("removed").alias("removed")), "term")
-    of_doc = of_doc.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("term", "removed")).alias("wanted"))
+    of_doc = of_doc.groupBy("doc_id", "digest").agg(
+        F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("gone"), F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("general")
+    )
     of_doc = checkpointed(of_doc)
     few = of_doc.limit(broadcast_rows + 1).count() <= broadcast_rows
     of_doc = of_doc.withColumnsRenamed({"doc_id": "of_id", "digest": "of_digest"})
-    texts = rows.withColumn("digest", F.xxhash64("text"))
-    both = texts.join(F.broadcast(of_doc) if few else of_doc, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")))
-    # one row for each term of a document, so that only its own places are looked for
-    both = both.select("doc_id", "digest", "text", F.concat(*[F.col(k) for k in KINDS]).alias("base"), F.explode("wanted").alias("w"))
-    both = both.withColumn("run", F.concat(F.lit(r"(?iu)(?<!\p{L})"), F.col("w.term"), F.lit(r"(?!\p{L})")))
-    placed = located(F.regexp_extract_all("text", F.col("run"), F.lit(0)), F.split("text", F.col("run"), -1))
-    clear = F.filter(placed, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    by = F.when(F.col("w.removed"), "").otherwise("[TERM]")
-    found = both.select("doc_id", "digest", F.explode(clear).alias("s"), by.alias("by")).select("doc_id", "digest", F.struct("s.start", "s.end", F.col("by").alias("value")).alias("t"))
-    return found.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("t")).alias("terms"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_digest"))
+    both = rows.join(F.broadcast(of_doc) if few else of_doc, same, "left")
+    is_in = lambda wanted, s: F.array_contains(wanted, F.lower(s["value"]))
+    # bound step by step: what a lambda refers to would be computed for each of its elements
+    split = F.transform(F.array(masked()), lambda text: F.struct(words(text).alias("found"), F.split(text, RUN, -1).alias("pieces")))
+    placed = F.flatten(F.transform(split, lambda x: F.filter(located(x["found"], x["pieces"]), lambda s: is_in(F.col("gone"), s) | is_in(F.col("general"), s))))
+    placed = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(is_in(F.col("gone"), s), "").otherwise("[TERM]").alias("value")))
+    return both.select("doc_id", "text", *KINDS, F.when(F.col("of_digest").isNotNull(), placed).otherwise(F.array().cast(_SPAN)).alias("term"))
+
+
+def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, digest, terms`` of the rows with terms."""
+    found = with_terms(rows, judged, holding, broadcast_rows).where(F.size("term") > 0)
+    return found.select("doc_id", F.xxhash64("text").alias("digest"), F.col("term").alias("terms"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """``doc_id, text, email, ip, card, phone, term``: all spans of every row."""
     rows = base_spans(docs, id_col, text_col)
-    extra = term_spans(rows, *disclosing_terms(rows, **thresholds))
-    extra = checkpointed(extra.select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), F.col("terms").alias("term")))
-    few = extra.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_digest"))
-    both = rows.join(F.broadcast(extra) if few else extra, same, "left")
-    return both.select("doc_id", "text", *KINDS, F.coalesce("term", F.array().cast(_SPAN)).alias("term"))
+    return with_terms(rows, *disclosing_terms(rows, **thresholds))
 
 
 def sanitised(found: DataFrame) -> DataFrame:

@@ -93,3 +93,31 @@ def test_query_digest(spark):
     for r in rows:
         assert r["base_sha256"] == hashlib.sha256(plain(texts[r["doc_id"]]).encode()).hexdigest()
         assert r["spans"].startswith(plain(texts[r["doc_id"]]))
+
+
+def signed(spark, id_of):
+    """Five texts with one signature line; a short name, a code and a far-off word go with its address."""
+    def filler(i):
+        return " ".join(f"{w}{x}" for w in ("blue", "kayak", "river") for x in "abcdefghij"[i % 5 :])
+
+    rows = [(id_of(i), f"İlknur {filler(i)}\nAli K7 王 <ali@mail.example.com>") for i in range(5)]
+    rows += [(100 + i, f"{filler(i)} row {i}") for i in range(60)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_short_coded_and_distant_terms_of_one_signature(spark):
+    for id_of in (lambda i: i, lambda i: None):
+        rows = pii.base_spans(signed(spark, id_of))
+        judged = {(r["term"], r["entity"]): r["share"] for r in pii.disclosing_terms(rows)[0].collect()}
+        entity = "email:ali@mail.example.com"
+        assert judged == {(t, entity): 1.0 for t in ("ali", "k7", "王", "ilknur".replace("i", "i\u0307", 1))}
+        for r in pii.personal_data(signed(spark, id_of)).collect():
+            if "Ali" in r["text"]:
+                assert [r["text"][s["start"] : s["end"]] for s in r["term"]] == ["İlknur", "Ali", "K7", "王"]
+            else:
+                assert not r["term"]
+
+
+def test_copies_of_one_text_are_no_evidence(spark):
+    rows = [(i, "Ali K7 ali@mail.example.com") for i in range(5)] + [(100 + i, f"row {i}") for i in range(60)]
+    assert pii.disclosing_terms(pii.base_spans(spark.createDataFrame(rows, "doc_id long, text string")))[0].count() == 0

@@ -4,7 +4,8 @@ Every document draws an exponential key divided by its quality weight; in the or
 a source's documents are a weighted random sample without replacement. A source first takes
 complete epochs of all its documents, then the documents with the smallest keys whose summed
 sizes stay within the rest of its target, then the one document whose size closes the remaining
-gap best. Draws come from a hash of the id and the seed, so reruns agree.
+gap best. Draws come from a hash of the id (of the text where the id is null) and the seed, so reruns
+agree.
 
 Prefix sums never put a source into one task: keys fall into 1024 ranges, whose sums tell in
 which range the budget ends; that range is split again until it holds few rows, and only those
@@ -117,18 +118,22 @@ def mix(
     weight: Column | None = None,
     seed: int = SEED,
     most: int = MOST_EPOCHS,
+    keep: str | None = None,
 ) -> DataFrame:
-    """Per row: ``doc_id, source, size, source_size, target, copies, taken``.
+    """Per row: ``doc_id, source, size, source_size, target, copies, taken``, and ``keep``, a column of ``docs``.
 
     ``weight`` is a quality weight (null or not positive: the smallest there is, 1e-6).
     """
+    more = [keep] if keep else []
     sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"), *([weight.alias("weight")] if weight is not None else [])
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text_of(text_col).alias("text"), *more, *([weight.alias("weight")] if weight is not None else [])
     ).withColumn("size", words_in(F.col("text")))
     if weight is None:
         sized = sized.withColumn("weight", usual_words(F.col("text"), F.col("size")))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
-    rows = sized.select("doc_id", "source", "size", (key / (key + 1)).alias("x"), F.monotonically_increasing_id().alias("row"))
+    # without an id the text draws: one draw for all of them would keep or drop them as a block
+    drawn = F.coalesce(F.col("doc_id").cast("string"), F.sha2(F.col("text").cast("binary"), 256))
+    key = -F.log(uniform(drawn, seed)) / F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
+    rows = sized.select("doc_id", "source", "size", (key / (key + 1)).alias("x"), F.monotonically_increasing_id().alias("row"), *more)
     rows = checkpointed(rows)
     targets = checkpointed(source_targets(rows, "source", most))
     aimed = rows.join(F.broadcast(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))) if _few(targets) else rows.join(
@@ -145,7 +150,7 @@ def mix(
     last = last.groupBy("source").agg(F.min(F.struct(off.alias("off"), "x", "doc_id", "row")).alias("best")).select(F.col("best.row"), F.lit(1).alias("closing"))
     copies = F.col("epochs") + F.col("chosen") + F.coalesce("closing", F.lit(0))
     return marked.join(last, "row", "left").select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *more
     )
 
 
@@ -157,14 +162,16 @@ def _few(targets: DataFrame, most: int = 10_000) -> bool:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns.
 
-    Rows that repeat an id count once.
+    Ids may be null or repeat: a row is known by its id and the digest of its text. Rows that
+    repeat both count once.
     """
-    if not docs.groupBy(id_col).count().where("count > 1").isEmpty():
-        docs = docs.dropDuplicates([id_col])
-    copies, of = free_name(docs, "mix_copies"), free_name(docs, "mix_id")
-    taken = mix(docs, id_col, **options).where("copies > 0").select(F.col("doc_id").alias(of), F.col("copies").cast("int").alias(copies))
-    out = docs.join(taken, docs[id_col].eqNullSafe(F.col(of)))
-    return out.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    digest, copies, of, of_digest = (free_name(docs, x) for x in ("mix_digest", "mix_copies", "mix_id", "mix_of_digest"))
+    docs, columns = docs.withColumn(digest, F.sha2(text_of(options.get("text_col", "text")).cast("binary"), 256)), docs.columns
+    if not docs.groupBy(id_col, digest).count().where("count > 1").isEmpty():
+        docs = checkpointed(docs.dropDuplicates([id_col, digest]))  # which row stays is settled here
+    taken = mix(docs, id_col, keep=digest, **options).where("copies > 0").select(F.col("doc_id").alias(of), F.col(digest).alias(of_digest), F.col("copies").cast("int").alias(copies))
+    out = docs.join(taken, (docs[digest] == F.col(of_digest)) & docs[id_col].eqNullSafe(F.col(of)))
+    return out.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*columns)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adit.llm.common import checkpointed, map_rows, table, text_of
+from adit.llm.common import checkpointed, free_name, map_rows, table, text_of
 
 RADIUS = 3
 SHINGLE = 3
@@ -211,30 +211,46 @@ def components(edges: DataFrame) -> DataFrame:
         edges, before = checkpointed(star(star(edges, True), False)), now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """Per row: ``doc_id, fp, component_id``, the smallest id reachable over links."""
-    rows = checkpointed(fingerprints(docs, id_col, text_col))
+def classes_of(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``fp, least, root`` for every fingerprint of ``rows`` (doc_id, fp); least is its smallest id."""
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp"), radius))
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    classes = checkpointed(classes.select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    return checkpointed(classes.select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """Per row: ``doc_id, fp, component_id``, the smallest id reachable over links."""
+    rows = checkpointed(fingerprints(docs, id_col, text_col))
+    classes = classes_of(rows, radius)
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = classes.join(least, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id.
+    """The rows of ``docs`` that stay: of each component the one with the smallest id (null last).
 
-    Rows that repeat the staying id are one document seen again; one of them stays.
+    Ids may be null or repeat: a row is known by its id and the digest of its text, and of one id's
+    texts in a component the one with the smallest digest stays. Rows that repeat both are one
+    document seen again; one of them stays.
     """
-    found = near_duplicates(docs, id_col, text_col, radius)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    stay = checkpointed(stay)
-    kept = docs.join(stay.select(F.col("doc_id").alias("staying")), docs[id_col].eqNullSafe(F.col("staying")), "left_semi")
-    if not stay.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    keyed = keyed.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    make = lambda: lambda columns: [columns[0], columns[2], list(map(fingerprint, columns[1]))]
+    rows = checkpointed(map_rows(keyed, "doc_id long, digest string, fp long", make))
+    classes = classes_of(rows.select("doc_id", "fp"), radius)
+    # one candidate a fingerprint, then one a component: both combine in each task
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    of_fp = rows.groupBy("fp").agg(F.min(first).alias("first"))
+    stay = of_fp.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    stay = checkpointed(stay.select(F.col("first.doc_id").alias("staying"), F.col("first.digest").alias("staying_digest")))
+    digest = free_name(docs, "digest_of_text")
+    tagged = docs.withColumn(digest, F.sha2(text_of(text_col).cast("binary"), 256))
+    kept = tagged.join(stay, (tagged[digest] == F.col("staying_digest")) & tagged[id_col].eqNullSafe(F.col("staying")), "left_semi")
+    if not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, digest])
+    return kept.drop(digest)
 
 
 def as_hex(fp: str | Column) -> Column:

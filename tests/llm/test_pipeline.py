@@ -39,3 +39,24 @@ def test_run_gives_the_last_stage(spark):
 def test_every_operator_has_its_query():
     assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert set(SQL) <= set(QUERIES)
+
+
+def test_null_and_repeated_ids_keep_their_texts(spark):
+    def text(k):
+        return " ".join(f"word{k}x{i}" for i in range(40))
+
+    rows = [(None, text(k), "s") for k in range(5)] + [(7, text(10), "s"), (7, text(11), "s"), (8, text(12), "s")]
+    near = [(None, text(12) + " \n", "s"), (None, text(4) + " ", "s")]  # near copies of an id and of a null id
+    docs = spark.createDataFrame(rows + [rows[0], rows[5]] + near, "doc_id long, text string, source string")
+    clean = lambda df: sorted((str(r["doc_id"]), r["text"].strip()) for r in df.collect())
+    expected = sorted((str(i), t.strip()) for i, t, _ in rows)
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and clean(kept) == expected
+    assert clean(mixing.mixed_documents(kept)) == expected
+    assert len(mixing.mixed_documents(docs).collect()) == len(rows + near)
+
+
+def test_rows_without_an_id_draw_by_their_texts(spark):
+    docs = spark.createDataFrame([(None, f"a b c d {i}", "x" if i % 2 else "y") for i in range(200)], "doc_id long, text string, source string")
+    runs = [sorted(r["text"] for r in mixing.mixed_documents(d).collect()) for d in (docs, docs.repartition(3))]
+    assert runs[0] == runs[1]

@@ -88,6 +88,15 @@ def val_explain(spark, d):
     return validated(enveloped(spark, d)).where("event_id % 10 IN (0, 1, 3, 4)").select("event_id", "detail")
 
 
+_TUNNEL = "(['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1]"
+
+
+@R.add("val_explain_all", f"SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'schema 1 (supported: 2)' WHEN 2 THEN 'payload tunnel_id/position/sensor_id ''elsewhere''/''start''/''' || {_TUNNEL} || '-start'' != topic ''' || {_TUNNEL} || '''/''start''/''' || {_TUNNEL} || '-start''' WHEN 3 THEN 'field ''classification'' must be one of BILINMEYEN|CEKICI_YARI_ROMORK|HAFIF_TICARI|KAMYON|MINIBUS|MOTOSIKLET|OTOBUS|OTOMOBIL|OZEL_AMACLI_TASIT|TRAKTOR' WHEN 4 THEN 'topic is not tunnels/{{tunnel_id}}/sensors/{{start|middle|end}}/{{detections|health}}' WHEN 5 THEN 'clientCertCn ''other'' != topic tunnel_id ''' || {_TUNNEL} || '''' END AS detail FROM events")
+def val_explain_all(spark, d):
+    # of every event, those built from values too
+    return validated(enveloped(spark, d)).select("event_id", "detail")
+
+
 @R.add("sink_split_3way", "SELECT CASE WHEN event_id % 10 BETWEEN 1 AND 5 THEN 'rejected' ELSE 'detection' END AS kind, count(*) AS n, count(DISTINCT CASE WHEN event_id % 10 <> 4 THEN user_id % 6 END) AS keys FROM events GROUP BY 1")
 def sink_split_3way(spark, d):
     parts = split_3way(validated(enveloped(spark, d)).persist())

@@ -229,6 +229,14 @@ def join_by_field_outer(spark, d):
     return a.join(b, "pod", "full_outer")
 
 
+@R.add("join_by_field_outer_all", "SELECT coalesce(a.user_id, b.user_id) AS pod, clicks::DOUBLE AS clicks, errors::DOUBLE AS errors FROM (SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' GROUP BY 1) b USING (user_id)")
+def join_by_field_outer_all(spark, d):
+    # of all users
+    e = events(spark, d)
+    one = lambda kind, name: e.where(F.col("event_type") == kind).groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).cast("double").alias(name))
+    return one("click", "clicks").join(one("error", "errors"), "pod", "full_outer")
+
+
 # ---- aggregations ----
 
 _S = "round(sum(speed_kmh), 4) AS speed_sum, count(speed_kmh) AS speed_count, min(speed_kmh) AS speed_min, max(speed_kmh) AS speed_max, round(sum(length_m), 4) AS length_sum"

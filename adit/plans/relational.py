@@ -14,6 +14,7 @@ from adit.operators.alerts import dimension
 from adit.plans import Registry
 from adit.plans.dashboards import hour_states, minute_states, speeding
 from adit.sources import binding, domain
+from adit.streaming.fusion import WINDOW_S
 
 R = Registry()
 
@@ -214,6 +215,22 @@ def join_calib_neighbors(spark, d):
     return votes.groupBy("tunnel_id", exact.alias("bin")).agg(F.count(F.lit(1)).alias("votes"))
 
 
+_CALIB_MS = round(WINDOW_S * 1000)
+
+
+@R.add("join_calib_window", f"WITH {_SENSED}, v AS (SELECT m.tunnel_id, (ms_m - ms_f) / 1000.0::DOUBLE * (m.speed + f.speed) / 2 / 3.6::DOUBLE AS half FROM m JOIN f ON m.tunnel_id = f.tunnel_id AND m.direction = f.direction AND m.lane = f.lane WHERE ms_f < ms_m AND ms_f >= ms_m - {_CALIB_MS}) SELECT tunnel_id, floor((ln(half) / ln(1.01::DOUBLE))::DECIMAL(18,9)::DOUBLE) AS bin, count(*) AS votes FROM v WHERE half BETWEEN 50 AND 12500 GROUP BY ALL")
+def join_calib_window(spark, d):
+    # within the time that the largest half spacing takes at 20 km/h, as in fusion
+    s = sensed(spark, d)
+    m = middles(s).join(s.select(F.col("event_id").alias("m"), F.col("speed").alias("speed_m")), "m")
+    f = firsts(s).join(s.select(F.col("event_id").alias("f"), F.col("speed").alias("speed_f")), "f")
+    near = pairing.range_join(m, f, ["tunnel_id", "direction", "lane"], F.col("ms_m") - _CALIB_MS, F.col("ms_m") - 1, F.col("ms_f"), _CALIB_MS)
+    half = (F.col("ms_m") - F.col("ms_f")) / F.lit(1000.0) * (F.col("speed_m") + F.col("speed_f")) / 2 / F.lit(3.6)
+    votes = near.select("tunnel_id", half.alias("half")).where("half BETWEEN 50 AND 12500")
+    exact = F.floor((F.log("half") / F.lit(math.log(1.01))).cast("decimal(18,9)")).cast("double")
+    return votes.groupBy("tunnel_id", exact.alias("bin")).agg(F.count(F.lit(1)).alias("votes"))
+
+
 @R.add("join_map_lookup", "WITH v AS (SELECT event_id, unnest([event_id, event_id + 1, event_id + 2]) AS member FROM events WHERE event_id % 3 = 0) SELECT v.event_id, member, event_type FROM v JOIN events e ON e.event_id = member")
 def join_map_lookup(spark, d):
     i = F.col("event_id")

@@ -87,12 +87,13 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
-    """At most ``most`` documents with a label (0 or 1), chosen by a hash of the id.
+    """``doc_id, text, label`` of at most ``most`` documents with a label (0 or 1), by hash of the id.
 
-    ``most`` bounds what is fitted on; the ids of the sample (at most ``most`` rows) are broadcast.
+    ``most`` bounds the rows that are fitted on: of several rows under one id the least text counts.
+    The ids of the sample (at most ``most`` rows) are broadcast.
     """
     chosen = labels.where(F.col(label).isin(0, 1)).groupBy(id_col).agg(F.max(label).alias("label"))
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col).limit(most).select(F.col(id_col).alias("labelled_id"), F.col("label").alias("labelled_as"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col("text"))
     joined = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["labelled_id"])
-    return joined.select("doc_id", "text", F.col("labelled_as").alias("label"))
+    return joined.groupBy("doc_id", F.col("labelled_as").alias("label")).agg(F.min("text").alias("text")).select("doc_id", "text", "label")

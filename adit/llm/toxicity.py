@@ -1,151 +1,143 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words (lower case, without the ASCII marks around them) and the first letters of longer
-words, and each of these again if it stands twice, and four times, in the text. The vocabulary is
-the terms that tell the two labels apart on the labelled sample (a log-likelihood ratio test over
-examples of which near copies count once), document frequencies are counted over all documents, and every
-document becomes a TF-IDF vector over these terms. Its ``NEIGHBOURS`` nearest examples are found
-exactly with an inverted index in blocks: each term knows its largest weight in each block of
-examples, the sum of these bounds the cosine of the whole block, and blocks are scored from the
-highest bound down until no bound exceeds the worst neighbour kept. Neighbours vote with their
-cosine; votes are turned into probabilities by isotonic regression on the examples themselves,
-each scored without itself.
-
-Fitting reads at most ``LABELLED`` labelled documents, by hash of the id; the vocabulary so has a
-bound as well (``TERMS``).
-
-Defined results: a text without vocabulary terms (so null and empty ones) has no neighbours and
-gets the share of toxic examples among those without terms; texts are taken whole; repeated rows
-give equal rows; without labels of both kinds all scores are 0; an empty table gives an empty
-result.
+Terms are all words of a text (lower case, without the ASCII marks around them). A term weighs
+(1 + ln tf) * ln((1 + N) / (1 + df)) * rf: document frequencies are counted over all documents, and
+rf = log2(2 + a / max(1, c)) is the relevance frequency of the labelled examples, a and c being the
+toxic and the other examples that have the term. No term of any example is left out.
+
+The index holds the examples' terms as posting lists. Short lists are added up in full. A long
+list knows its largest weight in each block of ``BLOCK`` examples; the sums of these bound what the
+long lists can add anywhere in a block, and an example is opened (its own weights in the long lists
+are read) only while short sum plus block bound reaches the worst neighbour kept. So the
+``NEIGHBOURS`` nearest examples are exact. They vote with their cosine; votes are turned into
+probabilities by isotonic regression on the examples, each scored without itself, equal votes
+pooled.
+
+Fitting reads at most ``LABELLED`` labelled documents, by hash of the id: index and vocabulary are
+bounded by their texts. Of examples with equal text and label one stays, as copies are no evidence.
+
+Defined results: a text without known terms (so null and empty ones) has no neighbours and gets the
+share of toxic examples among those without terms, or among all where there are none such; texts
+are taken whole; repeated rows give equal rows; of several texts under one labelled id the least
+counts; without labels of both kinds all scores are 0; an empty table gives an empty result; ties
+of cosine go to the example that comes first in the index.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from adit.llm.common import checkpointed, fold, map_rows, table, text_of
 from adit.llm.statistics import labelled_sample
 
 LABELLED = 20_000
-TERMS = 1_024
 NEIGHBOURS = 15
 BLOCK = 64
+LONG = 1 / 32  # a list is long if this share of the examples has the term
 ACCEPT = 0.3
 FOLDS, HELD = 4, 2
-STEMS = (4, 5)
-TIMES = (2, 4)
-MIN_DOCS = 4
-MIN_LLR = 25.0
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>/\\-_=+~`"
 
 
-def base_terms(text: str) -> Counter:
-    """How often each word and each stem (marked by a closing dash) stands in the text."""
-    found: Counter = Counter()
+def terms_of(text: str) -> dict[str, int]:
+    """How often each word stands in the text."""
+    found: dict[str, int] = {}
     for word, n in Counter(text.lower().split()).items():
         if word := word.strip(_MARKS):
-            found[word] += n
-            for size in STEMS:
-                if len(word) > size:
-                    found[word[:size] + "-"] += n
+            found[word] = found.get(word, 0) + n
     return found
 
 
-def repeated(counts: dict[str, int]) -> dict[str, int]:
-    """The same terms, and those that stand ``TIMES`` times or more once again by that number."""
-    return dict(counts) | {f"{t} {k}": n for t, n in counts.items() for k in TIMES if n >= k}
-
-
-def known_terms(text: str, ids: dict[str, int], bases: frozenset[str]) -> dict[int, int]:
-    """The vocabulary's terms of a text and their counts; looks at words that can matter only."""
-    found: dict[str, int] = {}
-    for word, n in Counter(text.lower().split()).items():
-        word = word.strip(_MARKS)
-        if word in bases:
-            found[word] = found.get(word, 0) + n
-        for size in STEMS:
-            if len(word) > size and (stem := word[:size] + "-") in bases:
-                found[stem] = found.get(stem, 0) + n
-    return {ids[t]: n for t, n in repeated(found).items() if t in ids}
-
+def relevance(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Relevance frequency of terms, from the numbers of toxic and of other examples that have them."""
+    return np.log2(2 + toxic / np.maximum(1, other))
 
-def sketch(text: str) -> int:
-    """The least hash of the 3-word windows: near copies mostly share it, other texts do not."""
-    words = text.lower().split()
-    return min((xxh64_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0) >> 1
 
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges, one range after another, and the number of each place's range."""
+    sizes = ends - starts
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(which)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), which
 
-def select_terms(counted: list[tuple[str, int, int]], n0: int, n1: int, most: int = TERMS) -> list[str]:
-    """Terms (with the number of documents of either label that have them) that tell labels apart.
 
-    Only terms likelier in toxic documents count: a neighbour is to be near for what makes it toxic.
-    """
+class Weights:
+    """The terms' numbers and weights; makes vectors of texts."""
 
-    def g(k: float, n: float, p: float) -> float:
-        q = k / n if n else 0
-        out = k * np.log(q / p) if k else 0.0
-        return out + ((n - k) * np.log((1 - q) / (1 - p)) if k < n else 0.0)
+    def __init__(self, term_id: dict[str, int], weight: np.ndarray):
+        self.term_id, self.weight = term_id, weight
 
-    found = []
-    for term, d0, d1 in counted:
-        if d0 + d1 >= MIN_DOCS and n0 and n1 and d1 / n1 > d0 / n0:
-            p = (d0 + d1) / (n0 + n1)
-            ratio = 2 * (g(d0, n0, p) + g(d1, n1, p)) if p < 1 else 0.0
-            if ratio >= MIN_LLR and d1 / (d0 + d1) >= 0.5:
-                found.append((-ratio, term))
-    return [t for _, t in sorted(found)[:most]]
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers, ascending, and weights of length 1."""
+        have = terms_of(text)
+        found = [(i, n) for i, n in zip(map(self.term_id.get, have), have.values(), strict=True) if i is not None]
+        t = np.array([i for i, _ in found], np.int32)
+        w = (1 + np.log(np.array([n for _, n in found], float))) * self.weight[t]
+        order = np.argsort(t)
+        t, w = t[order], w[order]
+        t, w = t[w > 0], w[w > 0]
+        return t, (w / max(np.sqrt((w**2).sum()), 1e-12)).astype(np.float32)
 
 
-@dataclass
 class Index:
-    """Examples with non-zero vectors, sorted so that alike ones share blocks."""
-
-    term_id: dict[str, int]
-    idf: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray]]
-    labels: np.ndarray
-    ids: np.ndarray
-    empty_score: float = 0.0
-    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
-    memo: dict = field(default_factory=dict)
-
-    def __post_init__(self):
-        n = len(self.vectors)
-        self.bases = frozenset(t.split(" ")[0] for t in self.term_id)
-        self.blocks = (n + BLOCK - 1) // BLOCK
-        self.dense = np.zeros((len(self.idf), self.blocks * BLOCK), np.float32)  # term by example
-        for j, (t, w) in enumerate(self.vectors):
-            self.dense[t, j] = w
-        self.highest = self.dense.reshape(len(self.idf), self.blocks, BLOCK).max(2) if n else np.zeros((len(self.idf), 0), np.float32)
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        have = known_terms(text, self.term_id, self.bases)
-        t = np.array(sorted(have), np.int64)
-        w = np.array([(1 + np.log(have[i])) * self.idf[i] for i in t.tolist()])
-        return t, (w / max(np.sqrt((w**2).sum()), 1e-12)).astype(np.float32)
+    """Examples, sorted so that alike ones share blocks, under their terms."""
+
+    def __init__(self, term_id, weight, vectors, labels, ids, empty_score: float = 0.0):
+        self.weights = Weights(term_id, np.asarray(weight))
+        self.labels, self.ids, self.empty_score = np.asarray(labels, float), np.asarray(ids), empty_score
+        self.steps = (np.zeros(1), np.zeros(1))
+        n, terms = len(vectors), len(self.weights.weight)
+        self.n, self.blocks = n, (n + BLOCK - 1) // BLOCK
+        example = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in vectors])
+        term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
+        value = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]]).astype(np.float32)
+        long = np.flatnonzero(np.bincount(term, minlength=terms) > max(1, n * LONG))
+        #: the number of each term's long list, or -1
+        self.long = np.full(terms, -1, np.int32)
+        self.long[long] = np.arange(len(long))
+        # short lists, by term; long lists by example, and their block maxima
+        short = self.long[term] < 0
+        order = np.argsort(term[short], kind="stable")
+        self.examples, self.values = example[short][order], value[short][order]
+        self.first = np.searchsorted(term[short][order], np.arange(terms + 1))
+        self.lists, self.list_values = self.long[term[~short]], value[~short]
+        self.own = np.searchsorted(example[~short], np.arange(n + 1))
+        self.highest = np.zeros((len(long), self.blocks), np.float32)
+        np.maximum.at(self.highest, (self.lists, example[~short] // BLOCK), self.list_values)
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples as (cosine, position), nearest first, ties by position.
 
         Only examples that share a term with the query count.
         """
-        bounds = w @ self.highest[t]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-6:
-                break  # an equal bound may still hold an earlier position
-            cosines = w @ self.dense[t, b * BLOCK : (b + 1) * BLOCK]
-            best += [(-float(c), b * BLOCK + j) for j, c in enumerate(cosines.tolist()) if c > 0 and b * BLOCK + j != without]
-            best = sorted(best)[:k]
-        return [(-c, j) for c, j in best]
+        if not len(t) or not self.n:
+            return []
+        w = w.astype(float)
+        at, of = _spread(self.first[t], self.first[t + 1])
+        sums = np.bincount(self.examples[at], self.values[at] * w[of], self.n)
+        query = np.zeros(len(self.highest))
+        in_long = self.long[t] >= 0
+        query[self.long[t[in_long]]] = w[in_long]
+        bounds = query[self.long[t[in_long]]] @ self.highest[self.long[t[in_long]]] if in_long.any() else np.zeros(self.blocks)
+        most = sums + np.repeat(bounds * (1 + 1e-6) + 1e-9, BLOCK)[: self.n]  # rounding never hides a neighbour
+        if without >= 0:
+            most[without] = 0
+
+        def opened(found: np.ndarray) -> np.ndarray:
+            at, of = _spread(self.own[found], self.own[found + 1])
+            return sums[found] + np.bincount(of, self.list_values[at] * query[self.lists[at]], len(found))
+
+        first = np.argpartition(-most, k)[:k] if self.n > k else np.arange(self.n)
+        worst = opened(first).min() if len(first) == k else 0.0
+        live = np.flatnonzero((most >= worst - 1e-9) & (most > 1e-8))
+        cosines = opened(live)
+        best = np.lexsort((live, -np.round(cosines, 9)))[:k]
+        return [(float(cosines[i]), int(live[i])) for i in best if cosines[i] > 1e-9]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         total = sum(c for c, _ in near)
@@ -153,108 +145,124 @@ class Index:
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """The calibrated score and the ids of the nearest examples."""
-        t, w = self.vector(text)
-        if not len(t) or not self.blocks:
+        near = self.nearest(*self.weights.vector(text))
+        if not near:
             return self.empty_score, []
-        key = (t.tobytes(), w.tobytes())
-        if key not in self.memo:
-            if len(self.memo) > 50_000:
-                self.memo.clear()
-            near = self.nearest(t, w)
-            raw = self.vote(near)
-            x, y = self.steps
-            self.memo[key] = float(np.interp(raw, x, y)) if near else self.empty_score, [int(self.ids[j]) for _, j in near[:3]]
-        return self.memo[key]
+        return float(np.interp(self.vote(near), *self.steps)), [int(self.ids[j]) for _, j in near[:3]]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Points of the increasing function nearest to y at x (pool adjacent violators)."""
-    order = np.argsort(x, kind="stable")
-    pools: list[list[float]] = []
-    for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([b, 1, a, a])
+    """Points of the increasing function nearest to y at x, between which it is linear: equal x are
+    one point, then adjacent violators are pooled, each pool being one point at its mean x."""
+    at, which = np.unique(x, return_inverse=True)
+    size = np.bincount(which, minlength=len(at))
+    mean = np.bincount(which, y, len(at)) / np.maximum(size, 1)
+    pools: list[list[float]] = []  # mean of y, weight, mean of x
+    for a, b, n in zip(at.tolist(), mean.tolist(), size.tolist(), strict=True):
+        pools.append([b, n, a])
         while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
-            s, n, _, hi = pools.pop()
+            s, n, a = pools.pop()
             p = pools[-1]
-            p[0], p[1], p[3] = (p[0] * p[1] + s * n) / (p[1] + n), p[1] + n, hi
-    points = [(a, s) for s, _, lo, hi in pools for a in ((lo, hi) if hi > lo else (lo,))]
-    return np.array([a for a, _ in points]), np.array([s for _, s in points])
+            both = p[1] + n
+            p[0], p[1], p[2] = (p[0] * p[1] + s * n) / both, both, (p[2] * p[1] + a * n) / both
+    return np.array([a for _, _, a in pools]), np.array([s for s, _, _ in pools])
+
+
+def examples(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """``doc_id, label, text``: the labelled sample, each text once for each label."""
+    sample = labelled_sample(docs, labels, label, most).select("doc_id", F.col("label").cast("int").alias("label"), text_of("text").alias("text"))
+    return sample.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label", "text")
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = LABELLED) -> Index | None:
     """Fit on at most ``most`` labelled documents; document frequencies over all of ``docs``."""
-    sample = labelled_sample(docs, labels, label, most).select("doc_id", F.col("label").cast("int").alias("label"), text_of("text").alias("text"))
-    sketched = map_rows(sample, "doc_id long, label int, text string, sketch long", lambda: lambda c: [*c, list(map(sketch, c[2]))])
-    sketched = checkpointed(sketched)  # at most ``most`` texts
-    one = sketched.groupBy("sketch", "label").agg(F.min("doc_id").alias("doc_id"))
-    rows = checkpointed(sketched.join(one, ["sketch", "label", "doc_id"]).dropDuplicates(["doc_id", "label", "sketch"]))
+    rows = checkpointed(examples(docs, labels, label, most))  # at most ``most`` texts
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return None
 
     def counting():
         def work(columns):
-            n: dict[str, list[int]] = {}
-            for text, y in zip(columns[0], columns[1], strict=True):
-                for t in repeated(base_terms(text)):
-                    n.setdefault(t, [0, 0])[y] += 1
-            return [list(n), [x[0] for x in n.values()], [x[1] for x in n.values()]]
+            n = (Counter(), Counter())
+            for text, y in zip(*columns, strict=True):
+                n[y].update(terms_of(text).keys())
+            found = list(n[0] | n[1])
+            return [found, [n[0][t] for t in found], [n[1][t] for t in found]]
 
         return work
 
-    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if not n.get(0) or not n.get(1):
-        return None
-    counted = map_rows(rows.select("text", "label"), "term string, d0 long, d1 long", counting).groupBy("term").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
-    # what no selection could take stays on the cluster; what can is bounded by the sample
-    counted = counted.where((F.col("d1") >= F.col("d0")) & (F.col("d0") + F.col("d1") >= MIN_DOCS)).collect()
-    chosen = select_terms([(r["term"], r["d0"], r["d1"]) for r in counted], n[0], n[1])
-    if not chosen:
-        return None
-    df, total = document_frequencies(docs, chosen)
-    idf = np.log((1 + total) / (1 + df)) + 1
-    index = Index({t: i for i, t in enumerate(chosen)}, idf, [], np.zeros(0), np.zeros(0, np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    counted = map_rows(rows.select("text", "label"), "term string, d0 long, d1 long", counting)
+    counted = counted.groupBy("term").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")).toArrow()  # the sample's terms
+    found = counted["term"].to_pylist()
+    order = sorted(range(len(found)), key=found.__getitem__)  # numbers do not hang on the order of rows
+    term_id = {found[i]: k for k, i in enumerate(order)}
+    d0, d1 = (np.array(counted[c], float)[order] for c in ("d0", "d1"))
+    shared = docs.sparkSession.sparkContext.broadcast(term_id)
+    df, total = document_frequencies(docs, shared)
+    weight = np.log((1 + total) / (1 + df)) * relevance(d1, d0)
+    weights = docs.sparkSession.sparkContext.broadcast(weight)
 
     def vectors():
+        make = Weights(shared.value, weights.value).vector
+
         def work(columns):
-            found = [shared.value.vector(t) for t in columns[2]]
-            return [columns[0], columns[1], [t.tolist() for t, _ in found], [w.astype(float).tolist() for _, w in found]]
+            found = [make(t) for t in columns[2]]
+            return [columns[0], columns[1], [t.tobytes() for t, _ in found], [w.tobytes() for _, w in found]]
 
         return work
 
-    found = map_rows(rows.select("doc_id", "label", "text"), "doc_id long, label int, t array<long>, w array<double>", vectors).collect()
-    full = sorted((r for r in found if r["t"]), key=lambda r: (r["t"], r["w"], r["doc_id"]))
-    without = [r["label"] for r in found if not r["t"]]
-    index = Index(
-        index.term_id,
-        idf,
-        [(np.array(r["t"], np.int64), np.array(r["w"], np.float32)) for r in full],
-        np.array([r["label"] for r in full], float),
-        np.array([r["doc_id"] for r in full], np.int64),
-        float(np.mean(without)) if without else 0.0,
-    )
-    votes = np.array([index.vote(index.nearest(t, w, without=j)) for j, (t, w) in enumerate(index.vectors)])
-    if len(votes):
-        index.steps = isotonic(votes, index.labels)
+    made = map_rows(rows, "doc_id long, label int, t binary, w binary", vectors).toArrow()
+    made = [(np.frombuffer(t, np.int32), np.frombuffer(w, np.float32), y, i) for t, w, y, i in zip(*[made[c].to_pylist() for c in ("t", "w", "label", "doc_id")], strict=True)]
+    full = sorted((r for r in made if len(r[0])), key=lambda r: _place(r, weight, df))
+    empty = [r[2] for r in made if not len(r[0])] or [r[2] for r in made]
+    index = Index(term_id, weight, [r[:2] for r in full], [r[2] for r in full], [-1 if r[3] is None else r[3] for r in full], float(np.mean(empty)))
+    index.steps = isotonic(*_votes(docs.sparkSession, index, full))
     return index
 
 
-def document_frequencies(docs: DataFrame, chosen: list[str]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term stands, and the number of documents."""
-    bases = frozenset(t.split(" ")[0] for t in chosen)
-    wanted = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(chosen)})
+def _place(r: tuple, weight: np.ndarray, df: np.ndarray) -> tuple:
+    """Sort key of an example: its heaviest terms among those that many documents have."""
+    common = r[0][df[r[0]] >= 50]
+    return tuple(common[np.argsort(-weight[common], kind="stable")[:3]].tolist()), r[3] is None, r[3] or 0, r[2], r[0].tobytes()
+
+
+def _votes(spark: SparkSession, index: Index, full: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The vote of each example without itself, and its label; computed on the cluster."""
+    shared = spark.sparkContext.broadcast((index, [r[:2] for r in full]))
+
+    def voting():
+        index, vectors = shared.value
+
+        def work(columns):
+            return [columns[0], [index.vote(index.nearest(*vectors[j], without=j)) for j in columns[0]]]
+
+        return work
+
+    parts = max(1, min(64, len(full) // 250))
+    found = map_rows(spark.range(0, len(full), 1, parts), "id long, vote double", voting).toArrow().sort_by("id")
+    shared.unpersist()
+    return np.array(found["vote"], float), index.labels
+
+
+def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term (of the broadcast ``term_id``) stands, and their number."""
 
     def run(batches):
-        ids, seen, rows = wanted.value, np.zeros(len(wanted.value), np.int64), 0
+        ids, rows = term_id.value, 0
+        seen = np.zeros(len(ids), np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                for i in known_terms(text.as_py(), ids, bases):
-                    seen[i] += 1
-                rows += 1
+            for start in range(0, batch.num_rows, 64):
+                texts = batch.column(0).slice(start, 64).to_pylist()
+                found = [i for i in map(ids.get, chain.from_iterable(map(terms_of, texts))) if i is not None]
+                np.add.at(seen, np.array(found, np.int64), 1)
+                rows += len(texts)
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"term": [-1, *at.tolist()], "n": [rows, *seen[at].tolist()]}, schema=pa.schema([("term", pa.int64()), ("n", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at)), pa.array(np.append(rows, seen[at]))], names=["term", "n"])
 
-    counted = docs.select(text_of("text").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n = {r["term"]: r["n"] for r in counted}
-    return np.array([n.get(i, 0) for i in range(len(chosen))], float), int(n.get(-1, 0))
+    counted = docs.select(text_of("text").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros(len(term_id.value) + 1)
+    found[np.array(counted["term"])] = np.array(counted["n"])
+    return found[:-1], int(found[-1])
 
 
 def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

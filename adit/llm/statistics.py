@@ -89,11 +89,18 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
     """``doc_id, text, label`` of at most ``most`` documents with a label (0 or 1), by hash of the id.
 
-    ``most`` bounds the rows that are fitted on: of several rows under one id the least text counts.
-    The ids of the sample (at most ``most`` rows) are broadcast.
+    ``most`` bounds the rows that are fitted on: of several texts under one id the one with the least
+    hash counts. The ids of the sample (at most ``most`` rows) are broadcast.
     """
     chosen = labels.where(F.col(label).isin(0, 1)).groupBy(id_col).agg(F.max(label).alias("label"))
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col).limit(most).select(F.col(id_col).alias("labelled_id"), F.col("label").alias("labelled_as"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col("text"))
-    joined = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["labelled_id"])
-    return joined.groupBy("doc_id", F.col("labelled_as").alias("label")).agg(F.min("text").alias("text")).select("doc_id", "text", "label")
+    joined = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).withColumn("hash", F.xxhash64("text"))
+    # ids and hashes alone are grouped; texts move only where rows repeat
+    each = joined.groupBy("doc_id").agg(F.min("hash").alias("least"), F.count(F.lit(1)).alias("n"))
+    repeated = each.where("n > 1").select(F.col("doc_id").alias("again"), "least")
+    if repeated.isEmpty():
+        return joined.select("doc_id", "text", F.col("labelled_as").alias("label"))
+    apart = joined.join(F.broadcast(repeated), F.col("doc_id") == F.col("again"), "left")
+    one = apart.where(F.col("hash") == F.col("least")).groupBy("doc_id", "labelled_as").agg(F.min("text").alias("text"))
+    return apart.where(F.col("least").isNull()).select("doc_id", "text", "labelled_as").unionByName(one).withColumnRenamed("labelled_as", "label").select("doc_id", "text", "label")

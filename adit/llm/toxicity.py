@@ -93,9 +93,9 @@ class Index:
         self.steps = (np.zeros(1), np.zeros(1))
         n, terms = len(vectors), len(self.weights.weight)
         self.n, self.blocks = n, (n + BLOCK - 1) // BLOCK
-        example = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in vectors])
-        term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
-        value = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]]).astype(np.float32)
+        example = np.repeat(np.arange(n, dtype=np.min_scalar_type(n)), [len(t) for t, _ in vectors])
+        term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32, copy=False)
+        value = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]]).astype(np.float32, copy=False)
         long = np.flatnonzero(np.bincount(term, minlength=terms) > max(1, n * LONG))
         #: the number of each term's long list, or -1
         self.long = np.full(terms, -1, np.int32)
@@ -104,12 +104,21 @@ class Index:
         short = self.long[term] < 0
         order = np.argsort(term[short], kind="stable")
         self.examples, self.values = example[short][order], value[short][order]
-        self.first = np.searchsorted(term[short][order], np.arange(terms + 1))
-        self.lists, self.list_values = self.long[term[~short]], value[~short]
+        self.first = np.searchsorted(term[short][order], np.arange(terms + 1)).astype(np.int32)
+        self.lists, self.list_values = self.long[term[~short]].astype(np.min_scalar_type(len(long))), value[~short]
         self.own = np.searchsorted(example[~short], np.arange(n + 1))
         self.highest = np.zeros((len(long), self.blocks), np.float32)
         np.maximum.at(self.highest, (self.lists, example[~short] // BLOCK), self.list_values)
 
+    def shared(self, spark: SparkSession):
+        """The terms and the rest as broadcast variables, made once."""
+        if not hasattr(self, "_shared"):
+            self._shared = spark.sparkContext.broadcast(self.weights.term_id), spark.sparkContext.broadcast(self)
+        return self._shared
+
+    def __getstate__(self):  # terms go apart
+        return {k: v for k, v in self.__dict__.items() if k != "_shared"} | {"weights": Weights({}, self.weights.weight)}
+
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples as (cosine, position), nearest first, ties by position.
 
@@ -143,12 +152,12 @@ class Index:
         total = sum(c for c, _ in near)
         return sum(c * self.labels[j] for c, j in near) / total if total else self.empty_score
 
-    def score(self, text: str) -> tuple[float, list[int]]:
-        """The calibrated score and the ids of the nearest examples."""
+    def score(self, text: str, steps: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
+        """The score calibrated by ``steps`` and the ids of the nearest examples."""
         near = self.nearest(*self.weights.vector(text))
         if not near:
             return self.empty_score, []
-        return float(np.interp(self.vote(near), *self.steps)), [int(self.ids[j]) for _, j in near[:3]]
+        return float(np.interp(self.vote(near), *steps)), [int(self.ids[j]) for _, j in near[:3]]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,11 +180,14 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def examples(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """``doc_id, label, text``: the labelled sample, each text once for each label."""
     sample = labelled_sample(docs, labels, label, most).select("doc_id", F.col("label").cast("int").alias("label"), text_of("text").alias("text"))
-    return sample.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label", "text")
+    once = sample.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), F.col("label").alias("as")).agg(F.min_by(F.struct("doc_id"), F.struct("doc_id")).alias("first"))
+    once = once.select("as", F.col("first.doc_id").alias("id"))  # an id has one text here
+    return sample.join(F.broadcast(once), (F.col("doc_id") == F.col("id")) & (F.col("label") == F.col("as"))).select("doc_id", "label", "text")
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = LABELLED) -> Index | None:
     """Fit on at most ``most`` labelled documents; document frequencies over all of ``docs``."""
+    context = docs.sparkSession.sparkContext
     rows = checkpointed(examples(docs, labels, label, most))  # at most ``most`` texts
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
@@ -192,18 +204,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         return work
 
     counted = map_rows(rows.select("text", "label"), "term string, d0 long, d1 long", counting)
-    counted = counted.groupBy("term").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")).toArrow()  # the sample's terms
-    found = counted["term"].to_pylist()
-    order = sorted(range(len(found)), key=found.__getitem__)  # numbers do not hang on the order of rows
-    term_id = {found[i]: k for k, i in enumerate(order)}
-    d0, d1 = (np.array(counted[c], float)[order] for c in ("d0", "d1"))
-    shared = docs.sparkSession.sparkContext.broadcast(term_id)
-    df, total = document_frequencies(docs, shared)
+    counted = counted.groupBy("term").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")).toArrow().sort_by("term")  # the sample's terms
+    term_id = {t: i for i, t in enumerate(counted["term"].to_pylist())}  # numbers do not hang on the order of rows
+    d0, d1 = (np.array(counted[c], float) for c in ("d0", "d1"))
+    terms = context.broadcast(term_id)
+    df, total = document_frequencies(docs, terms)
     weight = np.log((1 + total) / (1 + df)) * relevance(d1, d0)
-    weights = docs.sparkSession.sparkContext.broadcast(weight)
+    weights = context.broadcast(weight)
 
     def vectors():
-        make = Weights(shared.value, weights.value).vector
+        make = Weights(terms.value, weights.value).vector
 
         def work(columns):
             found = [make(t) for t in columns[2]]
@@ -215,33 +225,46 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     made = [(np.frombuffer(t, np.int32), np.frombuffer(w, np.float32), y, i) for t, w, y, i in zip(*[made[c].to_pylist() for c in ("t", "w", "label", "doc_id")], strict=True)]
     full = sorted((r for r in made if len(r[0])), key=lambda r: _place(r, weight, df))
     empty = [r[2] for r in made if not len(r[0])] or [r[2] for r in made]
-    index = Index(term_id, weight, [r[:2] for r in full], [r[2] for r in full], [-1 if r[3] is None else r[3] for r in full], float(np.mean(empty)))
-    index.steps = isotonic(*_votes(docs.sparkSession, index, full))
+    index = Index(term_id, weight, [r[:2] for r in full], [r[2] for r in full], [r[3] for r in full], float(np.mean(empty)))
+    del made, full
+    index._shared = terms, context.broadcast(index)
+    index.steps = isotonic(*_votes(rows, index))
     return index
 
 
 def _place(r: tuple, weight: np.ndarray, df: np.ndarray) -> tuple:
     """Sort key of an example: its heaviest terms among those that many documents have."""
     common = r[0][df[r[0]] >= 50]
-    return tuple(common[np.argsort(-weight[common], kind="stable")[:3]].tolist()), r[3] is None, r[3] or 0, r[2], r[0].tobytes()
+    return tuple(common[np.argsort(-weight[common], kind="stable")[:3]].tolist()), r[3], r[2]
+
+
+def _opened(index: Index):
+    """In a task: the index that the driver has sent, with its terms."""
+    terms, rest = index.shared(SparkSession.active())
 
+    def make() -> Index:
+        rest.value.weights.term_id = terms.value
+        return rest.value
 
-def _votes(spark: SparkSession, index: Index, full: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    return make
+
+
+def _votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """The vote of each example without itself, and its label; computed on the cluster."""
-    shared = spark.sparkContext.broadcast((index, [r[:2] for r in full]))
+    opened = _opened(index)
 
     def voting():
-        index, vectors = shared.value
+        index = opened()
+        at = {key: j for j, key in enumerate(zip(index.ids.tolist(), index.labels.tolist(), strict=True))}
 
         def work(columns):
-            return [columns[0], [index.vote(index.nearest(*vectors[j], without=j)) for j in columns[0]]]
+            own = [at.get((i, y), -1) for i, y in zip(*columns[:2], strict=True)]  # -1: without terms, so not in the index
+            return [own, [index.vote(index.nearest(*index.weights.vector(t), without=j)) if j >= 0 else 0.0 for j, t in zip(own, columns[2], strict=True)]]
 
         return work
 
-    parts = max(1, min(64, len(full) // 250))
-    found = map_rows(spark.range(0, len(full), 1, parts), "id long, vote double", voting).toArrow().sort_by("id")
-    shared.unpersist()
-    return np.array(found["vote"], float), index.labels
+    found = map_rows(rows, "at long, vote double", voting).where("at >= 0").toArrow()
+    return np.array(found["vote"], float), index.labels[np.array(found["at"])]
 
 
 def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
@@ -267,11 +290,13 @@ def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
 
 def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, evidence`` (ids of the nearest examples) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    opened, steps = (None, None) if index is None else (_opened(index), index.steps)
 
     def make():
+        index = opened and opened()
+
         def work(columns):
-            found = [(0.0, [])] * len(columns[0]) if shared.value is None else list(map(shared.value.score, columns[1]))
+            found = [(0.0, [])] * len(columns[0]) if index is None else [index.score(t, steps) for t in columns[1]]
             return [columns[0], [min(1.0, max(0.0, s)) for s, _ in found], [e for _, e in found]]
 
         return work

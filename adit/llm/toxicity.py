@@ -8,7 +8,7 @@ toxic and the other examples that have the term. No term of any example is left
 The index holds the examples' terms as posting lists. Short lists are added up in full. A long
 list knows its largest weight in each block of ``BLOCK`` examples; the sums of these bound what the
 long lists can add anywhere in a block, and an example is opened (its own weights in the long lists
-are read) only while short sum plus block bound reaches the worst neighbour kept. So the
+are read) only if short sum plus block bound reaches the worst of as many examples as are wanted. So the
 ``NEIGHBOURS`` nearest examples are exact. They vote with their cosine; votes are turned into
 probabilities by isotonic regression on the examples, each scored without itself, equal votes
 pooled.
@@ -26,7 +26,8 @@ of cosine go to the example that comes first in the index.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain
+from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ from adit.llm.statistics import labelled_sample
 
 LABELLED = 20_000
 NEIGHBOURS = 15
-BLOCK = 64
-LONG = 1 / 32  # a list is long if this share of the examples has the term
+BLOCK = 16
+LONG = 1 / 4  # a list is long if this share of the examples has the term
 ACCEPT = 0.3
 FOLDS, HELD = 4, 2
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>/\\-_=+~`"
@@ -59,13 +60,6 @@ def relevance(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.log2(2 + toxic / np.maximum(1, other))
 
 
-def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All places of the ranges, one range after another, and the number of each place's range."""
-    sizes = ends - starts
-    which = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(len(which)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), which
-
-
 class Weights:
     """The terms' numbers and weights; makes vectors of texts."""
 
@@ -75,11 +69,11 @@ class Weights:
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, ascending, and weights of length 1."""
         have = terms_of(text)
-        found = [(i, n) for i, n in zip(map(self.term_id.get, have), have.values(), strict=True) if i is not None]
-        t = np.array([i for i, _ in found], np.int32)
-        w = (1 + np.log(np.array([n for _, n in found], float))) * self.weight[t]
-        order = np.argsort(t)
-        t, w = t[order], w[order]
+        t = np.fromiter(map(self.term_id.get, have, repeat(-1)), np.int32, len(have))
+        n = np.fromiter(have.values(), float, len(have))
+        order = np.argsort(t)[np.count_nonzero(t < 0) :]
+        t = t[order]
+        w = (1 + np.log(n[order])) * self.weight[t]
         t, w = t[w > 0], w[w > 0]
         return t, (w / max(np.sqrt((w**2).sum()), 1e-12)).astype(np.float32)
 
@@ -100,15 +94,25 @@ class Index:
         #: the number of each term's long list, or -1
         self.long = np.full(terms, -1, np.int32)
         self.long[long] = np.arange(len(long))
-        # short lists, by term; long lists by example, and their block maxima
+        # short lists, by term; long lists as a matrix, and their block maxima
         short = self.long[term] < 0
         order = np.argsort(term[short], kind="stable")
         self.examples, self.values = example[short][order], value[short][order]
         self.first = np.searchsorted(term[short][order], np.arange(terms + 1)).astype(np.int32)
-        self.lists, self.list_values = self.long[term[~short]].astype(np.min_scalar_type(len(long))), value[~short]
-        self.own = np.searchsorted(example[~short], np.arange(n + 1))
-        self.highest = np.zeros((len(long), self.blocks), np.float32)
-        np.maximum.at(self.highest, (self.lists, example[~short] // BLOCK), self.list_values)
+        self.lists = np.zeros((self.blocks * BLOCK, len(long)), np.float32)
+        self.lists[example[~short], self.long[term[~short]]] = value[~short]
+
+    @cached_property
+    def postings(self) -> np.ndarray:
+        """Example and value of each posting, side by side in eight bytes."""
+        both = np.empty((len(self.examples), 2), np.int32)
+        both[:, 0], both[:, 1] = self.examples, self.values.view(np.int32)
+        return both.view(np.int64)[:, 0]
+
+    @cached_property
+    def highest(self) -> np.ndarray:
+        """By long list and block, the largest value."""
+        return np.ascontiguousarray(self.lists.reshape(self.blocks, BLOCK, self.lists.shape[1]).max(1).T)
 
     def shared(self, spark: SparkSession):
         """The terms and the rest as broadcast variables, made once."""
@@ -117,7 +121,7 @@ class Index:
         return self._shared
 
     def __getstate__(self):  # terms go apart
-        return {k: v for k, v in self.__dict__.items() if k != "_shared"} | {"weights": Weights({}, self.weights.weight)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_shared", "postings", "highest")} | {"weights": Weights({}, self.weights.weight)}
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples as (cosine, position), nearest first, ties by position.
@@ -126,27 +130,23 @@ class Index:
         """
         if not len(t) or not self.n:
             return []
-        w = w.astype(float)
-        at, of = _spread(self.first[t], self.first[t + 1])
-        sums = np.bincount(self.examples[at], self.values[at] * w[of], self.n)
-        query = np.zeros(len(self.highest))
+        starts, ends = self.first[t], self.first[t + 1]
+        found = np.concatenate([self.postings[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]).view(np.int32).reshape(-1, 2)
+        sums = np.bincount(found[:, 0], found[:, 1].view(np.float32) * np.repeat(w.astype(float), ends - starts), self.n)
         in_long = self.long[t] >= 0
+        query = np.zeros(self.lists.shape[1], np.float32)
         query[self.long[t[in_long]]] = w[in_long]
-        bounds = query[self.long[t[in_long]]] @ self.highest[self.long[t[in_long]]] if in_long.any() else np.zeros(self.blocks)
-        most = sums + np.repeat(bounds * (1 + 1e-6) + 1e-9, BLOCK)[: self.n]  # rounding never hides a neighbour
+        most = sums + np.repeat((query @ self.highest) * (1 + 1e-5) + 1e-6, BLOCK)[: self.n]  # rounding never hides a neighbour
         if without >= 0:
             most[without] = 0
-
-        def opened(found: np.ndarray) -> np.ndarray:
-            at, of = _spread(self.own[found], self.own[found + 1])
-            return sums[found] + np.bincount(of, self.list_values[at] * query[self.lists[at]], len(found))
-
         first = np.argpartition(-most, k)[:k] if self.n > k else np.arange(self.n)
-        worst = opened(first).min() if len(first) == k else 0.0
-        live = np.flatnonzero((most >= worst - 1e-9) & (most > 1e-8))
-        cosines = opened(live)
-        best = np.lexsort((live, -np.round(cosines, 9)))[:k]
-        return [(float(cosines[i]), int(live[i])) for i in best if cosines[i] > 1e-9]
+        worst = (sums[first] + self.lists[first] @ query).min() if len(first) == k else 0.0
+        live = np.flatnonzero(most >= worst - 1e-6)  # the others stay closed
+        if without >= 0:
+            live = live[live != without]
+        cosines = sums[live] + self.lists[live] @ query
+        best = np.lexsort((live, -np.round(cosines, 7)))[:k]
+        return [(float(cosines[i]), int(live[i])) for i in best if cosines[i] > 1e-7]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         total = sum(c for c, _ in near)

@@ -37,6 +37,7 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 RUN = r"[\p{L}\p{M}\p{N}]++"
+SEPARATOR = r"[^\p{L}\p{M}\p{N}]++"
 CONTEXTS = 2
 SHARE = 0.5
 REMOVE = 0.9
@@ -138,9 +139,12 @@ def masked() -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(F.col("text"))
 
 
-def terms_of_text() -> Column:
-    """The distinct words of a text outside its base spans, in lower case."""
-    return F.array_distinct(F.transform(words(masked()), F.lower))
+def distinct_words(text: Column) -> Column:
+    """The distinct words of a text, in lower case."""
+    fast = F.split(F.lower(text), SEPARATOR, -1)
+    # a capital sigma ends words in a form of its own: there words are lowered one by one, as spans are
+    lowered = F.when(F.contains(text, F.lit("\u03a3")), F.transform(words(text), F.lower)).otherwise(fast)
+    return F.array_remove(F.array_distinct(lowered), "")
 
 
 def entities() -> Column:
@@ -151,37 +155,46 @@ def entities() -> Column:
 def disclosing_terms(
     rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_TERMS
 ) -> tuple[DataFrame, DataFrame]:
-    """Terms that disclose entities, and the documents that hold them.
+    """Terms that disclose entities, and the documents that may hold them.
 
-    ``rows`` as from ``base_spans``; they are read for the counts of entities, of entities and
-    terms together, of the candidate terms, and for the documents that hold a disclosing term. All
-    counts are of rows. Gives ``term, entity, share, bits, removed`` and, for each document with
-    such a term, ``doc_id, digest, term``.
+    ``rows`` as from ``base_spans``. Patterns run over them once, to find the documents with an
+    entity; those (with their texts) are kept for what is counted of them. The words of all texts
+    are read twice: to count the candidate terms, and to find the documents of disclosing terms.
+    All counts are of rows. Gives ``term, entity, share, bits, removed`` and, for each document
+    with such a word (inside its spans or not), ``doc_id, digest, term``.
     """
 
+    def few(df: DataFrame) -> bool:
+        return df.limit(broadcast_rows + 1).count() <= broadcast_rows
+
     def semi(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-        few = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
-        return df.join(F.broadcast(wanted) if few else wanted, key, "left_semi")
+        return df.join(F.broadcast(wanted) if few(wanted) else wanted, key, "left_semi")
 
-    digest = F.xxhash64("text").alias("digest")
-    evidence = [F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")]
-    holds_any = rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
-    n_e = checkpointed(holds_any.select(digest, F.explode(entities()).alias("entity")).groupBy("entity").agg(*evidence).withColumnRenamed("n", "n_e"))
+    digest, one = F.xxhash64("text").alias("digest"), F.count(F.lit(1))
+    evidence = [one.alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")]
+    held = checkpointed(rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0).select(digest, "text", *KINDS))
+    n_e = checkpointed(held.select("digest", F.explode(entities()).alias("entity")).groupBy("entity").agg(*evidence).withColumnRenamed("n", "n_e"))
     # what stands in one text only has one piece of evidence: dropped before its terms are listed
     several = (F.col("low") != F.col("high")) if contexts > 1 else F.lit(True)
-    mentions = holds_any.select(digest, terms_of_text().alias("terms"), F.explode(entities()).alias("entity"))
+    outside = distinct_words(masked())
+    mentions = held.select("digest", outside.alias("terms"), F.explode(entities()).alias("entity"))
     pairs = semi(mentions, n_e.where(several).select("entity"), "entity").select("digest", "entity", F.explode("terms").alias("term"))
     # counts only, combined in each task: common terms stand in most documents
-    candidates = checkpointed(pairs.groupBy("entity", "term").agg(*evidence).where(several).select("entity", "term", F.col("n").alias("n_et")))
+    candidates = pairs.groupBy("entity", "term").agg(*evidence).where(several).select("entity", "term", F.col("n").alias("n_et"))
+    # a term's documents that hold some entity are some of its documents: they alone may show that the share is too low
+    at_least = held.select(F.explode(outside).alias("term")).groupBy("term").agg(one.alias("least"))
+    candidates = checkpointed(candidates.join(at_least, "term").where(F.col("n_et") >= share * F.col("least")).select("entity", "term", "n_et"))
     terms = candidates.select("term").distinct()
-    few = terms.limit(broadcast_rows + 1).count() <= broadcast_rows
-    each = rows.select("doc_id", digest, F.explode(terms_of_text()).alias("term"))
-    if few:
-        n_t = each.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    each = rows.select("doc_id", digest, F.explode(distinct_words(F.col("text"))).alias("term"))
+    counted = lambda words, n: words.groupBy("term").agg(one.alias(n))
+    if few(terms):
+        n_all = counted(each.join(F.broadcast(terms), "term", "left_semi"), "n_all")
     else:
-        n_t = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
-    n_t = checkpointed(n_t)
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
+        n_all = counted(each, "n_all").join(terms, "term", "left_semi")
+    # words that a document has inside its spans only do not count
+    inside = counted(held.select(F.explode(F.array_except(distinct_words(F.col("text")), outside)).alias("term")), "n_in")
+    n_t = n_all.join(inside, "term", "left").select("term", (F.col("n_all") - F.coalesce("n_in", F.lit(0))).alias("n_t"))
+    total = rows.agg(one.alias("total"))
     judged = candidates.join(n_t, "term").join(n_e.select("entity", "n_e"), "entity").crossJoin(F.broadcast(total))  # one row
     p = F.col("n_et") / F.col("n_t")
     judged = judged.select("term", "entity", p.alias("share"), F.log2(p * F.col("total") / F.col("n_e")).alias("bits"))
@@ -193,10 +206,15 @@ def disclosing_terms(
     return judged, semi(each, judged.select("term").distinct(), "term")
 
 
+def general_form(term: Column) -> Column:
+    return F.when(term.rlike(r"^\p{N}+$"), "[NUMBER]").when(term.rlike(r"\p{N}"), "[CODE]").otherwise("[TERM]")
+
+
 def with_terms(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``rows`` and ``term``: the places of disclosing terms outside base spans.
 
-    ``term`` has ``start, end, value``; the value is the replacement, empty for a removed term.
+    ``term`` has ``start, end, value``; the value is the replacement: nothing for a removed term, else
+    the term's kind (``[NUMBER]``, ``[CODE]`` with digits and letters, ``[TERM]``).
     """
     of_doc = holding.join(judged.groupBy("term").agg(F.max("removed").alias("removed")), "term")
     of_doc = of_doc.groupBy("doc_id", "digest").agg(
@@ -211,7 +229,7 @@ def with_terms(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast
     # bound step by step: what a lambda refers to would be computed for each of its elements
     split = F.transform(F.array(masked()), lambda text: F.struct(words(text).alias("found"), F.split(text, RUN, -1).alias("pieces")))
     placed = F.flatten(F.transform(split, lambda x: F.filter(located(x["found"], x["pieces"]), lambda s: is_in(F.col("gone"), s) | is_in(F.col("general"), s))))
-    placed = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(is_in(F.col("gone"), s), "").otherwise("[TERM]").alias("value")))
+    placed = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(is_in(F.col("gone"), s), "").otherwise(general_form(s["value"])).alias("value")))
     return both.select("doc_id", "text", *KINDS, F.when(F.col("of_digest").isNotNull(), placed).otherwise(F.array().cast(_SPAN)).alias("term"))
 
 
@@ -227,21 +245,28 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return with_terms(rows, *disclosing_terms(rows, **thresholds))
 
 
-def sanitised(found: DataFrame) -> DataFrame:
-    """``doc_id, text``: texts with base spans generalised to their kind and terms treated.
+def sanitised_text() -> Column:
+    """The text with base spans generalised to their kind and terms treated.
 
     Of overlapping spans the one that starts first (then the longer one) counts.
     """
-    spans = F.array_sort(
-        F.flatten(F.array(*[F.transform(F.col(k), _for(k, lambda k, s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(f"[{k.upper()}]").alias("by")))) for k in KINDS], F.transform("term", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["value"].alias("by"))))))
+    base = [F.transform(F.col(k), _for(k, lambda k, s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(f"[{k.upper()}]").alias("by")))) for k in KINDS]
+    terms = F.transform("term", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["value"].alias("by")))
+    spans = F.array_sort(F.concat(*base, terms))
 
     def add(acc: Column, s: Column) -> Column:
         free = s["start"] >= acc["at"]
         kept = F.concat(acc["out"], F.substring("text", acc["at"] + 1, s["start"] - acc["at"]), s["by"])
         return F.struct(F.when(free, -s["back"]).otherwise(acc["at"]).alias("at"), F.when(free, kept).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add)
-    return found.withColumn("done", done).select("doc_id", F.concat("done.out", F.substring("text", F.col("done.at") + 1, F.length("text"))).alias("text"))
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(spans, nothing, add, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
+    return F.when(F.size(spans) > 0, done).otherwise(F.col("text"))
+
+
+def sanitised(found: DataFrame) -> DataFrame:
+    """``doc_id, text``: the texts of ``personal_data`` as they may be given away."""
+    return found.select("doc_id", sanitised_text().alias("text"))
 
 
 def listed(kinds: tuple[str, ...]) -> Column:
@@ -256,4 +281,5 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(listed(KINDS).cast("binary"), 256).alias("base_sha256"),
         listed((*KINDS, "term")).alias("spans"),
+        F.sha2(sanitised_text().cast("binary"), 256).alias("sanitised_sha256"),
     )

@@ -1,7 +1,14 @@
 """Personal data against a plain version; disclosing terms; sanitised texts."""
 
 import hashlib
+import itertools
+import math
 import re
+from collections import Counter
+
+import pytest
+import regex
+from pyspark.sql import functions as F
 
 from adit.llm import pii
 
@@ -121,3 +128,54 @@ def test_short_coded_and_distant_terms_of_one_signature(spark):
 def test_copies_of_one_text_are_no_evidence(spark):
     rows = [(i, "Ali K7 ali@mail.example.com") for i in range(5)] + [(100 + i, f"row {i}") for i in range(60)]
     assert pii.disclosing_terms(pii.base_spans(spark.createDataFrame(rows, "doc_id long, text string")))[0].count() == 0
+
+
+def plain_disclosure(texts):
+    """Judged (term, entity, share, bits) and the term spans of each text, counted by hand."""
+    word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    docs = []
+    for text in texts:
+        found = [(k, m.start(), m.end(), m[0]) for k, p in PLAIN.items() for m in re.finditer(p, text or "") if holds(k, m[0])]
+        hidden = list(text or "")
+        for _, start, end, _ in found:
+            hidden[start:end] = " " * (end - start)
+        at = [(m.start(), m.end(), m[0].lower()) for m in word.finditer("".join(hidden))]
+        docs.append((text or "", {f"{k}:{v.lower()}" for k, _, _, v in found}, at))
+    n_e, n_t, n_et, seen = Counter(), Counter(), Counter(), {}
+    for text, entities, at in docs:
+        terms = {t for _, _, t in at}
+        n_e.update(entities)
+        n_t.update(terms)
+        for pair in itertools.product(entities, terms):
+            n_et[pair] += 1
+            seen.setdefault(pair, set()).add(text)
+    judged = {(t, e): (n / n_t[t], math.log2(n / n_t[t] * len(texts) / n_e[e])) for (e, t), n in n_et.items() if len(seen[e, t]) >= 2}
+    judged = {k: v for k, v in judged.items() if v[0] >= pii.SHARE and v[1] >= pii.BITS}
+    wanted = {t for t, _ in judged}
+    return judged, [[(a, b) for a, b, t in at if t in wanted] for _, _, at in docs]
+
+
+def test_disclosure_is_that_of_a_plain_count(spark, documents):
+    rows = [r["text"] for r in documents.select("text").collect()]
+    base = " ".join(rows[3].split()[:40])
+    planted = [f"{base} {k} Ayşe Öz 77{k % 2} wrote ΑΣ from ayse@mail.example.com and 10.0.{k % 3}.7 ΟΔΟΣ, ΣΑ" for k in range(9)]
+    planted += ["ayse@mail.example.com Öz", "Ayşe 10.0.1.7 ayse", planted[0], "ΑΣ ΣΑ.Β", "10 0 1 7 mail"]
+    texts = rows + planted
+    judged, places = plain_disclosure(texts)
+    assert len({t for t, _ in judged}) > 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["term"], r["entity"]): (r["share"], r["bits"]) for r in pii.disclosing_terms(pii.base_spans(docs))[0].collect()}
+    assert found.keys() == judged.keys()
+    for k, v in judged.items():
+        assert found[k] == pytest.approx(v)
+    for r in pii.personal_data(docs).select("doc_id", "term").collect():
+        assert [(s["start"], s["end"]) for s in r["term"]] == places[r["doc_id"]]
+
+
+def test_terms_are_generalised_by_kind_and_the_query_tells(spark):
+    forms = spark.createDataFrame([("77",), ("a7",), ("ab",)], "t string").select(pii.general_form(F.col("t"))).collect()
+    assert [r[0] for r in forms] == ["[NUMBER]", "[CODE]", "[TERM]"]
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitised(pii.personal_data(spark.read.parquet(f"{folder}/documents.parquet"))).collect()}
+    for r in pii.op3_pii(spark, folder).collect():
+        assert r["sanitised_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()

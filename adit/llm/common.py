@@ -22,16 +22,25 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (a single
-    machine, as in tests) a temporary folder takes its place.
+    Only on a single machine (as in tests) may it be unset; a temporary folder then takes its place.
     """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="adit-checkpoint-")
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through the folder that all executors share."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="adit-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

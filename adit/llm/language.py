@@ -7,8 +7,9 @@ features, and ridge regression learns each language against the rest. Scoring mu
 n-gram matrix with the landmarks' and the result with the weights.
 
 Texts are lower-cased, and ASCII characters other than letters count as spaces. Fitting reads a
-bounded sample by hash of the id: at most ``PER_LANGUAGE`` texts of each of the ``LANGUAGES`` most
-frequent languages, and at most ``LANDMARKS`` landmarks in all.
+bounded sample by hash of the id: about ``PER_LANGUAGE`` texts of each language, however many
+languages there are, and at most ``LANDMARKS`` landmarks in all, spread evenly over the languages.
+Tasks add up the normal equations of the regression; only these sums reach the driver.
 
 Defined results: ``und`` with score 0 for a null text or one without letters, and for every text
 if nothing is labelled; texts are taken whole; repeated rows give equal rows; an empty table gives
@@ -20,15 +21,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adit.llm.common import fold, map_rows, table, text_of
+from adit.llm.common import checkpointed, fold, map_rows, table, text_of
 
 NGRAMS = (1, 2, 3)
 PER_LANGUAGE = 1500
-LANGUAGES = 200
 LANDMARKS = 192
 RIDGE = 1e-3
 FOLDS, HELD = 4, 2
@@ -36,6 +38,7 @@ UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _TO_SPACE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _CHUNK = 4_000_000
+BROADCAST_LANGUAGES = 100_000
 
 
 def ngrams(text: str) -> list[np.ndarray]:
@@ -105,54 +108,82 @@ class Model:
         )
 
 
-def labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, languages: int) -> DataFrame:
-    """``doc_id, text, lang``: about ``per_language`` texts of each language, by hash of the id."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return rows.limit(0)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], per_language / r["count"])])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(draw < F.element_at(share, F.col("lang")))
+def _draw() -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+
+
+def chosen_landmarks(rows: DataFrame, languages: int, landmarks: int) -> list[str]:
+    """At most ``landmarks`` texts: the first by hash of each language, then the second of each, and so on."""
+    each = -(-landmarks // languages)
+    few = rows.where(_draw() < 2 * each / F.col("n"))  # about twice as many as are wanted, in each language
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
+    first = few.withColumn("rank", rank).where(F.col("rank") <= each)
+    return [r["text"] for r in first.orderBy("rank", F.xxhash64("lang"), "lang").select("text").limit(landmarks).collect()]
+
+
+def normal_equations(sample: DataFrame, per_language: int, marks: Landmarks, m: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Sums over the sample, languages weighing alike: features times features (and a constant one),
+    the names of the languages, and the features of each.
+
+    Each task adds up its own rows; sums of equal place meet by a shuffle.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast((marks, m))
+    schema = pa.schema([("lang", pa.string()), ("i", pa.int32()), ("sums", pa.list_(pa.float64()))])
+
+    def run(batches):
+        marks, m = shared.value
+        d = m.shape[1] + 1
+        gram, of = np.zeros((d, d)), {}
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                lang, n = part.column(0).to_pylist(), np.array(part.column(1), float)
+                phi = np.column_stack([marks.kernel(part.column(2).to_pylist()) @ m, np.ones(len(lang))])
+                weighed = phi / np.minimum(n, per_language)[:, None]
+                gram += phi.T @ weighed
+                for name, row in zip(lang, weighed, strict=True):
+                    of[name] = of.get(name, 0) + row
+        sums = [(None, i, gram[i]) for i in range(d)] * bool(of) + [(name, -1, of[name]) for name in sorted(of)]
+        for start in range(0, len(sums), 1000):
+            names, at, values = zip(*sums[start : start + 1000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(at, pa.int32()), pa.array([v.tolist() for v in values], pa.list_(pa.float64()))], schema=schema)
+
+    parts = sample.select("lang", "n", "text").mapInArrow(run, "lang string, i int, sums array<double>")
+    each = parts.select("lang", "i", F.posexplode("sums").alias("j", "x")).groupBy("lang", "i", "j").agg(F.sum("x").alias("x")).toArrow()
+    d = m.shape[1] + 1
+    names = sorted({x for x in each["lang"].to_pylist() if x is not None})
+    number = {name: k for k, name in enumerate(names)}
+    gram, of = np.zeros((d, d)), np.zeros((len(names), d))
+    for name, i, j, x in zip(*[each[c].to_pylist() for c in ("lang", "i", "j", "x")], strict=True):
+        if name is None:
+            gram[i, j] = x
+        else:
+            of[number[name], j] = x
+    return gram, names, of
 
 
 def fit(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, landmarks: int = LANDMARKS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS
 ) -> Model | None:
-    """Fit on labelled documents; their kernel values are computed on the cluster."""
-    one = max(4, landmarks // max(1, docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(languages).count()))
-    chosen = labelled(docs, id_col, text_col, lang_col, 2 * one, languages).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    seen: dict[str, int] = {}
-    texts = []
-    for r in chosen:
-        if seen.setdefault(r["lang"], 0) < one and _LETTER.search(r["text"]):
-            seen[r["lang"]] += 1
-            texts.append(r["text"])
-    if not texts:
+    """Fit on labelled documents with letters; their kernel values are computed on the cluster."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = checkpointed(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    languages = counts.count()
+    if not languages:
         return None
+    of = counts.withColumnRenamed("lang", "of")
+    rows = rows.join(F.broadcast(of) if languages <= BROADCAST_LANGUAGES else of, F.col("lang") == F.col("of")).drop("of")
+    texts = chosen_landmarks(rows, languages, landmarks)
     marks = Landmarks.of(texts)
-    shared = docs.sparkSession.sparkContext.broadcast(marks)
-
-    def make():
-        return lambda c: [c[0], c[1], shared.value.kernel(c[2]).astype(float).tolist()]
-
-    sample = labelled(docs, id_col, text_col, lang_col, per_language, languages).select("doc_id", "lang", "text")
-    found = sorted(map_rows(sample, "doc_id long, lang string, k array<double>", make).collect(), key=lambda r: (r["doc_id"] or 0, r["lang"]))
-    if not found:
-        return None
-    names = sorted({r["lang"] for r in found})
-    k = np.array([r["k"] for r in found])
-    y = np.array([[1.0 if r["lang"] == name else -1.0 for name in names] for r in found])
-    # Nystroem: features k . M with M = K_mm^(-1/2); ridge regression on them, weighing languages alike
+    # Nystroem: features k . M with M = K_mm^(-1/2); ridge regression on them, each language against the rest
     mm = marks.kernel(texts).astype(float)
     values, vectors = np.linalg.eigh((mm + mm.T) / 2)
     keep = values > 1e-6 * values.max()
     m = vectors[:, keep] / np.sqrt(values[keep])
-    phi = np.column_stack([k @ m, np.ones(len(k))])
-    weigh = 1 / np.array([(y[:, names.index(r["lang"])] > 0).sum() for r in found])
-    gram = phi.T @ (phi * weigh[:, None])
-    w = np.linalg.solve(gram + RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)), phi.T @ (y * weigh[:, None]))
+    gram, names, of = normal_equations(rows.where(_draw() < per_language / F.col("n")), per_language, marks, m)
+    target = (2 * of - of.sum(0)).T  # 1 for a language's own texts, -1 for the rest
+    w = np.linalg.solve(gram + RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)), target)
     return Model(names, marks, np.vstack([m @ w[:-1], w[-1:]]).astype(np.float32))
 
 

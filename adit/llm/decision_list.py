@@ -2,8 +2,9 @@
 
 Rules are conjunctions of thresholds on statistics of a text, each saying "reject". A rule grows
 on two thirds of the labelled documents, condition by condition, by information gain, is pruned
-on the other third from its end, and joins the list if it is precise enough there; documents it
-covers are set aside and the next rule grows. The list becomes one ordered Spark expression, so
+on the other third from its end, and joins the list if it covers some of that third and is precise
+enough there; documents it covers leave, and the next rule grows. Where a rule does not join, the
+documents it was after are set aside and growing goes on with the others. The list becomes one ordered Spark expression, so
 the verdict of every document is a plain column.
 
 Defined results: a null text has no words and fails the base rules; repeated rows give equal
@@ -118,19 +119,22 @@ def learn_rules(rows: np.ndarray, label: np.ndarray) -> list[Rule]:
     """The decision list for statistics (columns as in ``NAMES``) and labels (0: reject)."""
     bad, x = label == 0, measures(rows)
     prune = np.arange(len(bad)) % 3 == 2
-    left, rules = np.ones(len(bad), bool), []
-    while len(rules) < MOST_RULES and (bad & left & ~prune).sum() >= MIN_COVERED:
-        part = lambda mask: {k: v[mask] for k, v in x.items()}
-        rule = _grow(part(left & ~prune), bad[left & ~prune])
+    left, growing, rules = np.ones(len(bad), bool), ~prune, []
+    part = lambda mask: {k: v[mask] for k, v in x.items()}
+    while len(rules) < MOST_RULES and (bad & growing).sum() >= MIN_COVERED:
+        rule = _grow(part(growing), bad[growing])
         rule = _prune(rule, part(left & prune), bad[left & prune]) if rule else rule
-        if not rule:
+        c = covers(rule, x) & left if rule else ~left
+        if not (c & bad & growing).any():
             break
-        c = covers(rule, x) & left
         held = c & prune
-        if (bad & c).sum() < MIN_COVERED or (bad & held).sum() < MIN_PRECISION * held.sum() or (bad & c).sum() < MIN_PRECISION * c.sum():
-            break
-        rules.append(rule)
-        left &= ~c
+        enough = (bad & c).sum() >= MIN_COVERED and held.any()  # no rule without evidence it did not grow on
+        if enough and (bad & held).sum() >= MIN_PRECISION * held.sum() and (bad & c).sum() >= MIN_PRECISION * c.sum():
+            rules.append(rule)
+            left &= ~c
+            growing &= ~c
+        else:
+            growing &= ~(c & bad)  # set aside what this rule was after, and look for others
     return rules
 
 
@@ -148,7 +152,7 @@ def rule_number(rules: list[Rule]) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = LABELLED) -> list[Rule]:
     """Learn on at most ``most`` labelled documents, by hash of the id."""
     sample = labelled_sample(docs, labels, label, most)
-    found = text_statistics(sample).join(F.broadcast(sample.select("doc_id", "label").distinct()), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
+    found = text_statistics(sample, keep="label").orderBy(F.xxhash64("doc_id"), "doc_id")
     found = np.array([[r[n] for n in NAMES] + [r["label"]] for r in found.collect()], dtype=np.int64).reshape(-1, len(NAMES) + 1)
     return learn_rules(found[:, :-1], found[:, -1])
 

@@ -73,17 +73,18 @@ def statistics(text: str) -> list[int]:
     ]
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``NAMES`` for every row; a null text counts as empty."""
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """``doc_id``, ``NAMES`` and, if named, an integer column for every row; a null text counts as empty."""
 
     def make():
         def work(columns):
             rows = list(map(statistics, columns[1]))
-            return [columns[0], *(map(list, zip(*rows, strict=True)) if rows else repeat([], len(NAMES)))]
+            return [columns[0], *(map(list, zip(*rows, strict=True)) if rows else repeat([], len(NAMES))), *columns[2:]]
 
         return work
 
-    return map_rows(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")), SCHEMA, make)
+    more = [F.col(keep).cast("int").alias(keep)] if keep else []
+    return map_rows(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *more), SCHEMA + (f", {keep} int" if keep else ""), make)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:

@@ -7,14 +7,13 @@ their target weights (documents repeat as often as the mix takes them); what is
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from adit.llm import bpe, exact_dedup, mixing, preference, simhash
-from adit.llm.common import table
+from adit.llm.common import shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``. What lies between them goes to the shared folder."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="adit-pipeline-")
-    docs, here = table(spark, sf_dir, "documents"), f"{shared}/pipeline-{uuid.uuid4().hex}"
+    """Apply the stages to ``documents``. What lies between them goes to the shared folder; a stage's
+    input is removed once its output is written, so that only the last one's input stays."""
+    docs, here = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{here}/{k}")
             docs = spark.read.parquet(f"{here}/{k}")
+        if 0 < k < len(STAGES) - 1:
+            gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{here}/{k - 1}")
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
     return docs

@@ -40,6 +40,21 @@ def sequence_gaps(detections: DataFrame) -> DataFrame:
     return per.select("sensor_id", "boot_id", "received", "accepted", (F.col("received") - F.col("accepted")).alias("duplicates"), (F.col("high") - F.col("low") + 1 - F.col("accepted")).alias("lost"))
 
 
+def by_sequence(detections: DataFrame, window: int = 512) -> DataFrame:
+    """Messages that count, by their sensor's sequence numbers (``sensor_id, boot_id, seq, arrival``).
+
+    In order of arrival, a sensor's rows fall into runs of one boot. In a run a number counts once,
+    and not if it lies ``window`` or more below the highest number before it. One shuffle by sensor.
+    """
+    sensor = W.partitionBy("sensor_id").orderBy("arrival", "message_id")
+    run = W.partitionBy("sensor_id", "_run").orderBy("arrival", "message_id")
+    began = F.coalesce((F.col("boot_id") != F.lag("boot_id").over(sensor)).cast("int"), F.lit(0))
+    rows = detections.withColumn("_began", began).withColumn("_run", F.sum("_began").over(sensor))
+    rows = rows.withColumn("_top", F.max("seq").over(run.rowsBetween(W.unboundedPreceding, -1)))
+    rows = rows.withColumn("_again", F.row_number().over(W.partitionBy("sensor_id", "_run", "seq").orderBy("arrival", "message_id")))
+    return rows.where((F.col("_again") == 1) & (F.col("_top").isNull() | (F.col("seq") > F.col("_top") - window))).drop("_began", "_run", "_top", "_again")
+
+
 def first_per_key(df: DataFrame, key: str, order: list, k: int = 1) -> DataFrame:
     """The first ``k`` rows of each key; ranks stop at k inside the sort, before the shuffle ends."""
     rank = F.row_number().over(W.partitionBy(key).orderBy(*order))

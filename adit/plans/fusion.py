@@ -1,11 +1,10 @@
-"""Fusion, generation, validation and stream semantics as queries over the driver's tables."""
+"""Fusion, validation and stream semantics as queries over the driver's tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adit.operators import generator
-from adit.operators.dedup import first_seen
+from adit.operators.dedup import by_sequence, first_seen
 from adit.operators.validate import split_3way, validated
 from adit.plans import Registry
 from adit.sources import binding, domain
@@ -42,9 +41,45 @@ def st_fuse_batch(spark, d):
     return events.groupBy("tunnel_id").agg(F.count(F.lit(1)).alias("vehicles"), F.sum(F.col("sensors").cast("bigint")).alias("detections"), F.count_if(F.col("sensors") == 3).alias("whole"))
 
 
+@R.add(
+    "st_fuse_events",
+    """SELECT (['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1] AS tunnel_id, (['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1] || ':start:' || event_id AS event_id,
+  (event_id % 3 + 1)::INT AS lane, epoch_us(ts) // 1000 AS ts_entry, epoch_us(ts) // 1000 + 50000 AS ts_exit, '34 AA ' || event_id AS plate, 72.0::DOUBLE AS speed_kmh,
+  (['MOTOSIKLET','OTOMOBIL','HAFIF_TICARI','MINIBUS','OTOBUS','KAMYON','CEKICI_YARI_ROMORK','TRAKTOR','OZEL_AMACLI_TASIT'])[event_id % 9 + 1] AS classification,
+  CASE WHEN event_id % 143 = 0 THEN 0.9 ELSE 1.0 END::DOUBLE AS confidence, 1.0::DOUBLE AS agreement, 3 - (event_id % 11 = 0)::INT - (event_id % 13 = 0)::INT AS sensors,
+  CASE WHEN event_id % 143 = 0 THEN 'middle,end' WHEN event_id % 11 = 0 THEN 'middle' WHEN event_id % 13 = 0 THEN 'end' ELSE '' END AS missing FROM events""",
+)
+def st_fuse_events(spark, d):
+    known = spark.createDataFrame([(t, HALF_M) for t in binding.TUNNELS], "tunnel_id string, half_m double")
+    return fusion.fuse(sensed(spark, d), known).select(
+        "tunnel_id", "event_id", "lane", "ts_entry", "ts_exit", "plate", "speed_kmh", "classification", "confidence", "agreement", "sensors", F.array_join("missing", ",").alias("missing")
+    )
+
+
 @R.add("st_dedup_seq", "SELECT 'x' AS k, count(*) * 3 - count(*) FILTER (event_id % 11 = 0) - count(*) FILTER (event_id % 13 = 0) AS kept FROM events")
 def st_dedup_seq(spark, d):
-    return first_seen(sensed(spark, d), "message_id", ["arrival"]).agg(F.lit("x").alias("k"), F.count(F.lit(1)).alias("kept"))
+    return by_sequence(sensed(spark, d)).agg(F.lit("x").alias("k"), F.count(F.lit(1)).alias("kept"))
+
+
+@R.add(
+    "st_dedup_seq_window",
+    """WITH sent AS (
+  SELECT event_id AS arrival, 's' || (user_id % 6) AS sensor_id, 'b' || (event_id // 700 % 3) AS boot_id,
+         CASE WHEN event_id % 10 = 3 THEN event_id - 1 WHEN event_id % 41 = 0 THEN greatest(event_id - 600, 0) WHEN event_id % 13 = 0 THEN event_id // 7 * 7 ELSE event_id END AS seq FROM events),
+runs AS (SELECT *, sum(began) OVER (PARTITION BY sensor_id ORDER BY arrival ROWS UNBOUNDED PRECEDING) AS run FROM (
+  SELECT *, coalesce((boot_id <> lag(boot_id) OVER (PARTITION BY sensor_id ORDER BY arrival))::INT, 0) AS began FROM sent)),
+marked AS (SELECT *, max(seq) OVER (PARTITION BY sensor_id, run ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top,
+  row_number() OVER (PARTITION BY sensor_id, run, seq ORDER BY arrival) AS again FROM runs)
+SELECT sensor_id, boot_id, count(*) AS kept, sum(seq)::BIGINT AS numbers FROM marked WHERE again = 1 AND (top IS NULL OR seq > top - 512) GROUP BY ALL""",
+)
+def st_dedup_seq_window(spark, d):
+    # repeats, numbers too far behind, and boots that change and come back
+    i = F.col("event_id")
+    seq = F.when(i % 10 == 3, i - 1).when(i % 41 == 0, F.greatest(i - 600, F.lit(0))).when(i % 13 == 0, F.floor(i / 7) * 7).otherwise(i)
+    sent = binding.events(spark, d).select(
+        i.alias("arrival"), i.cast("string").alias("message_id"), F.concat(F.lit("s"), (F.col("user_id") % 6).cast("string")).alias("sensor_id"), F.concat(F.lit("b"), (F.floor(i / 700) % 3).cast("string")).alias("boot_id"), seq.alias("seq")
+    )
+    return by_sequence(sent).groupBy("sensor_id", "boot_id").agg(F.count(F.lit(1)).alias("kept"), F.sum("seq").alias("numbers"))
 
 
 @R.add("st_first_seen_dedup", "SELECT tunnel_id, count(*) AS events, round(sum(speed_kmh), 4) AS speed FROM firsts GROUP BY 1")
@@ -102,21 +137,3 @@ def sink_split_3way(spark, d):
     parts = split_3way(validated(enveloped(spark, d)).persist())
     one = lambda kind: parts[kind].groupBy(F.lit(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("keys"))
     return one("detection").unionByName(one("rejected")).unionByName(one("health"))
-
-
-@R.add("gen_detections")
-def gen_detections(spark, d):
-    """Generated traffic and what the sensors saw of it: rows only, as draws are hashes of Spark's own."""
-    return generator.detections(generator.vehicles(spark, domain.profiles(spark), 200))
-
-
-@R.add("gen_fused_quality")
-def gen_fused_quality(spark, d):
-    """Generated detections, fused with known spacing, against the vehicles they came from."""
-    found = generator.detections(generator.vehicles(spark, domain.profiles(spark), 300)).cache()
-    known = domain.profiles(spark).select("tunnel_id", (F.col("length_m") / 2).alias("half_m"))
-    members = fusion.fuse(found, known).select("tunnel_id", "event_id", "classification", F.explode("detections").alias("message_id"))
-    truth = found.select("message_id", "vehicle_id", "true_class").distinct()
-    by = members.join(truth, "message_id").groupBy("tunnel_id", "event_id", "classification").agg(F.countDistinct("vehicle_id").alias("n"), F.max("true_class").alias("true_class"))
-    n = F.count(F.lit(1))
-    return by.groupBy("tunnel_id").agg(n.alias("vehicles"), (F.count_if(F.col("n") > 1) / n).alias("mixed"), (F.count_if(F.col("classification") == F.col("true_class")) / n).alias("accuracy"))

@@ -17,10 +17,11 @@ def latest(df: DataFrame, keys: list, version: list) -> DataFrame:
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def first_seen(df: DataFrame, key: str, order: list) -> DataFrame:
-    """One row per key: the first in the order of arrival."""
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+def first_seen(df: DataFrame, key: str, order: list, columns: list | None = None) -> DataFrame:
+    """One row per key: the first in the order of arrival; with ``columns`` only these (and the key) are shuffled."""
+    rest = [c for c in (df.columns if columns is None else columns) if c != key]
+    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return first.select(*df.columns) if columns is None else first
 
 
 def not_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -28,8 +29,14 @@ def not_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
-def vehicles_dedup(vehicles: DataFrame) -> DataFrame:
-    return latest(vehicles, ["tunnel_id", "event_id"], ["inserted_at", "kafka_partition", "kafka_offset"])
+def vehicles_dedup(vehicles: DataFrame, *columns: str) -> DataFrame:
+    """The latest version of each event; with ``columns`` only these (and the keys) are shuffled."""
+    keys, version = ["tunnel_id", "event_id"], ["inserted_at", "kafka_partition", "kafka_offset"]
+    if not columns:
+        return latest(vehicles, keys, version)
+    rest = [c for c in columns if c not in keys]
+    best = vehicles.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
+    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def sequence_gaps(detections: DataFrame) -> DataFrame:

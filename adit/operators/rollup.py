@@ -99,25 +99,25 @@ def merged_average(state: str) -> Column:
     return F.when(n > 0, F.sum(f"{state}.sum") / n)
 
 
-def finalised(states: DataFrame, unit: str) -> DataFrame:
-    """Statistics by bucket and ``KEYS``: counts, averages, extrema and quantiles of the sketch."""
+def finalised(states: DataFrame, unit: str, whole: bool = False) -> DataFrame:
+    """Statistics by bucket and ``KEYS``: counts, averages, extrema and quantiles of the sketch.
+
+    ``whole``: a key has one state, so that there is nothing to merge.
+    """
     alpha, keys = ALPHA[unit], [unit, *KEYS]
-    whole = merge(states, keys)
-
-    def quantile(q: float) -> Column:
-        # buckets in ascending order; the zero bucket is the smallest key
-        step = F.aggregate(
-            F.map_entries("speed_sketch"),
-            F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("int").alias("b")),
-            lambda a, e: F.struct(
-                (a["upto"] + e["value"]).alias("upto"),
-                F.when(a["upto"] >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("vehicles"))), a["b"]).otherwise(e["key"]).alias("b"),
-            ),
-        )
-        b = step["b"]
-        return F.when(b == -(1 << 31), F.lit(0.0)).otherwise(sketch_value(b, alpha))
-
-    return whole.select(
+    at = F.array(*[F.greatest(F.lit(1).cast("bigint"), F.ceil(F.lit(q) * F.col("vehicles"))) for q in QUANTILES])
+    # one walk over the buckets in ascending order (the zero bucket has the smallest key) finds all quantiles
+    begun = F.struct(F.lit(0).cast("bigint").alias("upto"), F.array(*[F.lit(None).cast("int")] * len(QUANTILES)).alias("found"))
+
+    def step(a: Column, e: Column) -> Column:
+        upto = a["upto"] + e["value"]
+        found = F.transform(a["found"], lambda b, i: F.when(b.isNull() & (upto >= F.get("_at", i)), e["key"]).otherwise(b))
+        return F.struct(upto.alias("upto"), found.alias("found"))
+
+    rows = (states if whole else merge(states, keys)).withColumn("_at", at)
+    rows = rows.withColumn("_found", F.aggregate(F.map_entries("speed_sketch"), begun, step, lambda a: a["found"]))
+    value = lambda b: F.when(b == -(1 << 31), F.lit(0.0)).otherwise(sketch_value(b, alpha))
+    return rows.select(
         *keys, "vehicles", average("speed_avg").alias("speed_avg_kmh"), F.col("speed_min").alias("speed_min_kmh"), F.col("speed_max").alias("speed_max_kmh"),
-        *[quantile(q).alias(f"speed_p{round(q * 100)}_kmh") for q in QUANTILES], average("length_avg").alias("length_avg_m"),
+        *[value(F.get("_found", F.lit(k))).alias(f"speed_p{round(q * 100)}_kmh") for k, q in enumerate(QUANTILES)], average("length_avg").alias("length_avg_m"),
     )

@@ -147,6 +147,41 @@ def validated(raw: DataFrame, value: str = "value", now_ms: Column | None = None
     )
 
 
+def rejected_late(raw: DataFrame, reason: str, detail: str, value: str = "value", now_ms: Column | None = None) -> DataFrame:
+    """Records that failed after validation (the producer refused them), as rejections: ``raw`` with ``key, reason, record``.
+
+    Of the envelope only what can be read is told; the key is the tunnel of any topic of five parts.
+    """
+    text = F.when(F.is_valid_utf8(F.col(value).cast("string")), F.col(value).cast("string"))
+    df = raw.withColumn("_e", F.try_parse_json(text))
+    ts = _get("_e", "ts")
+    df = df.withColumns({"_topic": _text(_get("_e", "topicName")), "_cn": _text(_get("_e", "clientCertCn")), "_ts": F.when(_is(ts, "integer"), F.try_variant_get(ts, "$", "bigint"))})
+    parts = F.split("_topic", "/", -1)
+    tunnel = F.get(parts, F.lit(1))
+    cut = F.substring(F.coalesce(F.make_valid_utf8(F.col(value).cast("string")), F.lit("")), 1, ENVELOPE_CHARS)
+    now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    record = F.to_json(
+        F.struct(F.lit(reason).alias("reason"), F.lit(detail).alias("detail"), F.col("_topic").alias("topic"), F.col("_cn").alias("client_cert_cn"), F.col("_ts").alias("received_ts"), now.alias("processed_ts"), cut.alias("envelope")),
+        {"ignoreNullFields": "false"},
+    )
+    return df.select(*[F.col(c) for c in raw.columns], F.when((F.size(parts) == 5) & (tunnel != ""), tunnel).alias("key"), F.lit(reason).alias("reason"), record.alias("record"))
+
+
+def strict_detections(typed: DataFrame) -> DataFrame:
+    """Typed detections with ``invalid``, the first reason not to fuse one (null: none), and ``boot_id``,
+    the last part but one of a message id of three parts or more."""
+    where = (F.col("direction").isin(*DIRECTIONS) & F.col("position").isin(*POSITIONS)).eqNullSafe(F.lit(True))
+    known = F.col("classification").isin(*CLASSES).eqNullSafe(F.lit(True))
+    shown = lambda c: F.coalesce(_quote(F.col(c)), F.lit("None"))
+    invalid = (
+        F.when(~F.col("schema").eqNullSafe(F.lit(SCHEMA_VERSION)), F.concat(F.lit("unsupported schema "), F.coalesce(F.col("schema").cast("string"), F.lit("None"))))
+        .when(~where, F.concat(F.lit("bad direction/position "), shown("direction"), F.lit("/"), shown("position")))
+        .when(~known, F.concat(F.lit("bad classification "), shown("classification")))
+        .when(~(F.col("speed_kmh") > 0).eqNullSafe(F.lit(True)), F.lit("speed_kmh must be > 0"))
+    )
+    return typed.withColumns({"invalid": invalid, "boot_id": F.regexp_extract("message_id", r":([^:]*):[^:]*$", 1)})
+
+
 def split_3way(checked: DataFrame) -> dict[str, DataFrame]:
     """The three outputs, keyed by tunnel: what each topic or table gets.
 

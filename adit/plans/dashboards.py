@@ -46,12 +46,16 @@ def latency(d: DataFrame) -> DataFrame:
     )
 
 
+_ROLLED = ["tunnel_id", "ts_entry", "direction", "classification", "speed_kmh", "length_m"]
+_ALERTED = ("ts_entry", "plate", "classification", "speed_kmh", "direction", "lane", "sensors", "confidence")
+
+
 def minute_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"]), "minute")
+    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"], _ROLLED), "minute")
 
 
 def hour_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"]), "hour")
+    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"], _ROLLED), "hour")
 
 
 _MS = "date_sub('millisecond', ts, received_ts)"
@@ -164,7 +168,7 @@ def q15(spark, d):
 
 @R.add("Q16_speed_distribution", f"SELECT date_trunc('hour', ts_entry) AS time, round(quantile_cont(speed_kmh, 0.5), 6) AS p50, round(quantile_cont(speed_kmh, 0.85), 6) AS p85, round(quantile_cont(speed_kmh, 0.95), 6) AS p95 FROM dedup WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q16(spark, d):
-    rows = vehicles_dedup(binding.vehicles(spark, d)).where(in_range("ts_entry") & shown())
+    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "speed_kmh").where(in_range("ts_entry") & shown())
     return rows.groupBy(bucket("hour", "ts_entry").alias("time")).agg(*[F.round(F.percentile("speed_kmh", q), 6).alias(f"p{round(100 * q)}") for q in (0.5, 0.85, 0.95)])
 
 
@@ -176,7 +180,7 @@ def q16_raw(spark, d):
 
 @R.add("Q17_consensus_quality", f"SELECT date_trunc('hour', ts_entry) AS time, round(avg(agreement), 6) AS agreement, round(avg(confidence), 6) AS confidence, count(*) FILTER (sensors < 3) / count(*) AS incomplete_share FROM dedup WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q17(spark, d):
-    rows = vehicles_dedup(binding.vehicles(spark, d)).where(in_range("ts_entry") & shown())
+    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "agreement", "confidence", "sensors").where(in_range("ts_entry") & shown())
     return rows.groupBy(bucket("hour", "ts_entry").alias("time")).agg(F.round(F.avg("agreement"), 6).alias("agreement"), F.round(F.avg("confidence"), 6).alias("confidence"), (F.count_if(F.col("sensors") < 3) / F.count(F.lit(1))).alias("incomplete_share"))
 
 
@@ -240,11 +244,11 @@ _RESTRICTED = f"(SELECT ts_entry, {_LOCAL} AS local_time, ({_LOCAL})::DATE AS lo
 
 
 def speeding(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.speeding(vehicles_dedup(binding.vehicles(spark, d)), domain.profiles(spark))
+    return alerts.speeding(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED), domain.profiles(spark))
 
 
 def restricted(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.restricted(vehicles_dedup(binding.vehicles(spark, d)), domain.profiles(spark), domain.rules(spark))
+    return alerts.restricted(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED), domain.profiles(spark), domain.rules(spark))
 
 
 @R.add("Q25_speeding", f"SELECT count(*) AS speeding FROM {_SPEEDING} WHERE ts_entry {_RANGE} AND {_IN}")
@@ -395,7 +399,7 @@ def _stats_sql(unit: str, alpha: float) -> str:
 
 
 def _stats(states: DataFrame, unit: str) -> DataFrame:
-    f = rollup.finalised(states, unit)
+    f = rollup.finalised(states, unit, whole=True)  # of one rollup: a key has one state
     rounded = [F.round(c, 6).alias(c) if c.endswith(("_avg_kmh", "_avg_m")) or "_p" in c else F.col(c) for c in f.columns]
     return f.select(*rounded)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adit.operators.dedup import by_sequence, first_seen
-from adit.operators.validate import split_3way, validated
+from adit.operators.lineage import checkpointed
+from adit.operators.validate import rejected_late, split_3way, strict_detections, validated
 from adit.plans import Registry
 from adit.sources import binding, domain
 from adit.streaming import fusion
@@ -93,7 +94,7 @@ def st_windows(spark, d):
     return binding.events(spark, d).groupBy(F.window("ts", "1 minute").getField("start").alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def enveloped(spark, d):
+def enveloped(spark, d, *keep):
     """Each event as a raw envelope; some are broken in one of five ways."""
     i = F.col("event_id")
     tunnel = F.element_at(F.array(*map(F.lit, binding.TUNNELS)), (F.col("user_id") % 6 + 1).cast("int"))
@@ -107,7 +108,7 @@ def enveloped(spark, d):
     )
     topic = F.concat(F.lit("tunnels/"), tunnel, F.lit("/sensors/"), F.when(i % 10 == 4, "side").otherwise("start"), F.lit("/detections"))
     e = F.to_json(F.struct(topic.alias("topicName"), F.base64(payload.cast("binary")).alias("payload"), F.lit(1_700_000_000_001).alias("ts"), F.when(i % 10 == 5, "other").otherwise(tunnel).alias("clientCertCn")))
-    return binding.events(spark, d).select("event_id", F.regexp_replace(e, r"\\r\\n", "").cast("binary").alias("value"))
+    return binding.events(spark, d).select("event_id", *keep, F.regexp_replace(e, r"\\r\\n", "").cast("binary").alias("value"))
 
 
 _REASON = "CASE event_id % 10 WHEN 1 THEN 'unsupported_schema' WHEN 2 THEN 'payload_mismatch' WHEN 3 THEN 'bad_payload' WHEN 4 THEN 'bad_topic' WHEN 5 THEN 'identity_mismatch' END"
@@ -134,6 +135,100 @@ def val_explain_all(spark, d):
 
 @R.add("sink_split_3way", "SELECT CASE WHEN event_id % 10 BETWEEN 1 AND 5 THEN 'rejected' ELSE 'detection' END AS kind, count(*) AS n, count(DISTINCT CASE WHEN event_id % 10 <> 4 THEN user_id % 6 END) AS keys FROM events GROUP BY 1")
 def sink_split_3way(spark, d):
-    parts = split_3way(validated(enveloped(spark, d)).persist())
+    parts = split_3way(checkpointed(validated(enveloped(spark, d))))
     one = lambda kind: parts[kind].groupBy(F.lit(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("keys"))
     return one("detection").unionByName(one("rejected")).unionByName(one("health"))
+
+
+def enveloped_all(spark, d):
+    """Each event as a raw envelope of either topic: the five faults, health reports, and no envelopes at all."""
+    i = F.col("event_id")
+    good = enveloped(spark, d, "user_id")
+    tunnel = F.element_at(F.array(*map(F.lit, binding.TUNNELS)), (F.col("user_id") % 6 + 1).cast("int"))
+    report = F.to_json(
+        F.struct(
+            F.lit(2).alias("schema"), F.concat(tunnel, F.lit("-end")).alias("sensor_id"), F.lit("02:01").alias("device_id"), F.lit("TSN").alias("device_serial"), tunnel.alias("tunnel_id"), F.lit("end").alias("position"),
+            F.lit(1_700_000_000_000).alias("ts"), F.when(i % 20 == 7, "asleep").otherwise("ok").alias("status"), F.when(i % 20 != 8, True).alias("degraded"), F.lit(60).alias("window_s"), F.lit(1.5).alias("uptime_s"),
+            i.alias("detections"), F.lit(0).alias("duplicates"), F.lit(1).alias("missed"),
+        )
+    )
+    health = F.to_json(F.struct(F.concat(F.lit("tunnels/"), tunnel, F.lit("/sensors/end/health")).alias("topicName"), F.base64(report.cast("binary")).alias("payload"), F.lit(1_700_000_000_001).alias("ts"), tunnel.alias("clientCertCn")))
+    health = F.regexp_replace(health, r"\\r\\n", "")
+    value = F.when(i % 20 == 6, F.lit(None).cast("binary")).when(i % 20 == 16, F.lit("{nothing").cast("binary")).when(i % 20 == 9, F.lit("[1]").cast("binary"))
+    return good.select("event_id", "user_id", value.when((i % 20).isin(7, 8, 17, 18), health.cast("binary")).otherwise(F.col("value")).alias("value"))
+
+
+_REASON_ALL = f"CASE WHEN event_id % 20 IN (6, 9, 16) THEN 'bad_envelope' WHEN event_id % 20 IN (7, 8) THEN 'bad_payload' WHEN event_id % 20 IN (17, 18) THEN NULL ELSE {_REASON} END"
+
+
+@R.add(
+    "val_reasons_all",
+    f"""SELECT event_id, {_REASON_ALL} AS reason, CASE WHEN {_REASON_ALL} IS NOT NULL THEN 'rejected' WHEN event_id % 20 IN (17, 18) THEN 'health' ELSE 'detection' END AS kind,
+  CASE event_id % 20 WHEN 6 THEN 'record value is null' WHEN 16 THEN 'envelope is not valid UTF-8 JSON' WHEN 9 THEN 'envelope is not a JSON object' WHEN 8 THEN 'missing field ''degraded''' WHEN 7 THEN 'field ''status'' must be one of degraded|ok|silent' END AS detail
+  FROM events""",
+)
+def val_reasons_all(spark, d):
+    checked = validated(enveloped_all(spark, d))
+    return checked.select("event_id", "reason", "kind", F.when((F.col("event_id") % 20).isin(6, 7, 8, 9, 16), F.col("detail")).alias("detail"))
+
+
+@R.add(
+    "val_reject_late",
+    f"SELECT event_id, CASE WHEN event_id % 20 IN (6, 9, 16) THEN NULL ELSE {_TUNNEL} END AS key, 'too_large' AS reason, CASE WHEN event_id % 20 IN (6, 9, 16) THEN NULL WHEN event_id % 20 IN (7, 8, 17, 18) THEN 'tunnels/' || {_TUNNEL} || '/sensors/end/health' WHEN event_id % 10 = 4 THEN 'tunnels/' || {_TUNNEL} || '/sensors/side/detections' ELSE 'tunnels/' || {_TUNNEL} || '/sensors/start/detections' END AS topic FROM events",
+)
+def val_reject_late(spark, d):
+    # what was valid and could not be written after all
+    return rejected_late(enveloped_all(spark, d), "too_large", "refused by the producer").select("event_id", "key", "reason", F.get_json_object("record", "$.topic").alias("topic"))
+
+
+@R.add(
+    "parse_detection_strict",
+    """SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'unsupported schema 3' WHEN event_id % 19 = 0 THEN 'bad direction/position ''up''/''middle''' WHEN event_id % 23 = 0 THEN 'bad classification ''TANK'''
+  WHEN event_id % 29 = 0 THEN 'speed_kmh must be > 0' END AS invalid, CASE WHEN event_id % 31 = 0 THEN '' ELSE 'b' || (user_id % 2) END AS boot_id FROM events""",
+)
+def parse_detection_strict(spark, d):
+    i = F.col("event_id")
+    rows = binding.events(spark, d).select(
+        "event_id", F.when(i % 17 == 0, 3).otherwise(2).alias("schema"), F.when(i % 31 == 0, "unnumbered").otherwise(F.concat(F.lit("T:1:middle:b"), (F.col("user_id") % 2).cast("string"), F.lit(":"), i.cast("string"))).alias("message_id"),
+        F.when(i % 19 == 0, "up").otherwise("end_to_start").alias("direction"), F.lit("middle").alias("position"), F.when(i % 23 == 0, "TANK").otherwise("OTOBUS").alias("classification"), F.when(i % 29 == 0, 0.0).otherwise(50.0).alias("speed_kmh"),
+    )
+    return strict_detections(rows).select("event_id", "invalid", "boot_id")
+
+
+@R.add(
+    "st_calibrate",
+    """WITH s AS (SELECT (['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1] AS tunnel_id, epoch_us(ts) // 1000 AS t, event_id FROM events),
+b AS (SELECT tunnel_id, min(t) AS began FROM s GROUP BY 1),
+v AS (SELECT tunnel_id, ((event_id % 11 <> 0 AND t + 25000 < began + 21600000)::INT + (event_id % 11 <> 0 AND event_id % 13 <> 0 AND t + 50000 < began + 21600000)::INT) AS votes FROM s JOIN b USING (tunnel_id))
+SELECT tunnel_id, 500.0::DOUBLE AS half_m FROM v GROUP BY 1 HAVING sum(votes) >= 8""",
+)
+def st_calibrate(spark, d):
+    return fusion.calibrated(fusion.placed(by_sequence(sensed(spark, d)))).select("tunnel_id", F.round("half_m", 6).alias("half_m"))
+
+
+@R.add(
+    "agg_totals_counters",
+    "SELECT name, sum(n)::BIGINT AS n FROM (SELECT unnest(['received', 'errors', 'users']) AS name, unnest([count(*), count(*) FILTER (event_type = 'error'), count(DISTINCT user_id)]) AS n FROM events GROUP BY user_id % 6) GROUP BY 1",
+)
+def agg_totals_counters(spark, d):
+    # counters of each worker (a map), summed over all workers
+    engines = binding.events(spark, d).groupBy(F.col("user_id") % 6).agg(
+        F.create_map(F.lit("received"), F.count(F.lit(1)), F.lit("errors"), F.count_if(F.col("event_type") == "error"), F.lit("users"), F.countDistinct("user_id")).alias("counters")
+    )
+    return engines.select(F.explode("counters").alias("name", "n")).groupBy("name").agg(F.sum("n").alias("n"))
+
+
+@R.add(
+    "parse_log_remap",
+    "SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS level, event_id % 3 = 0 AS plain, CASE WHEN event_id % 3 = 0 THEN 'started ' || event_id END AS line, 'pod' || (user_id % 5) AS pod FROM events",
+)
+def parse_log_remap(spark, d):
+    # a line that is JSON becomes its value, any other stays text; metadata that nobody searches by goes
+    i = F.col("event_id")
+    raw = binding.events(spark, d).select(
+        "event_id", F.when(i % 3 == 0, F.concat(F.lit("started "), i.cast("string"))).otherwise(F.to_json(F.struct(F.col("event_type").alias("level")))).alias("message"),
+        F.struct(F.concat(F.lit("pod"), (F.col("user_id") % 5).cast("string")).alias("pod"), F.lit("u").alias("pod_uid"), F.lit("c").alias("container_id")).alias("kubernetes"), F.lit("/var/log").alias("file"),
+    )
+    rows = raw.withColumn("log", F.coalesce(F.try_parse_json("message"), F.col("message").cast("variant"))).drop("message", "file").withColumn("kubernetes", F.col("kubernetes").dropFields("pod_uid", "container_id"))
+    plain = F.schema_of_variant("log") == "STRING"
+    return rows.select("event_id", F.try_variant_get("log", "$.level", "string").alias("level"), plain.alias("plain"), F.when(plain, F.try_variant_get("log", "$", "string")).alias("line"), F.col("kubernetes.pod").alias("pod"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adit.operators import rollup
+from adit.operators.lineage import checkpointed
 from adit.operators.validate import validated
 from adit.sources import domain
 
@@ -29,15 +30,43 @@ def split_to_tables(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     batch after a failure replaces its own rows."""
 
     def write(batch: DataFrame, number: int) -> None:
-        checked = validated(batch).persist()
+        checked = checkpointed(validated(batch))
         for kind in ("detection", "health", "rejected"):
             rows = checked.where(F.col("kind") == kind).select("key", "record", "reason")
             rows.write.mode("overwrite").parquet(f"{path}/{kind}/batch={number}")
-        checked.unpersist()
 
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def load_topic(raw: DataFrame, topic: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Append a topic's typed rows to its table, by day, and records that are none of its schema to ``<path>_broken``.
+
+    Files of a batch lie under its number, so a batch that runs again replaces its own.
+    """
+    time = {"vehicles": "ts_entry", "rejected": "processed_ts"}.get(topic, "ts")
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows, broken = domain.read_topic(checkpointed(batch), topic)
+        day = F.to_date(F.timestamp_millis(F.col(time)))
+        rows.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+        broken.write.mode("overwrite").parquet(f"{path}_broken/batch={number}")
+
+    return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def fan_out(vehicles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """One stream of vehicle events, each event once, to three tables in one batch: minute states, hour
+    states, and the ids that were seen."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = checkpointed(batch)
+        rollup.rollup(rows, "minute").write.mode("overwrite").parquet(f"{path}/minute/batch={number}")
+        rollup.rollup(rows, "hour").write.mode("overwrite").parquet(f"{path}/hour/batch={number}")
+        rows.select("event_id", "tunnel_id", "ts_entry").write.mode("overwrite").parquet(f"{path}/ids/batch={number}")
+
+    return first_seen(vehicles).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def first_seen(vehicles: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Each event once, within the watermark's delay (``at``: event time)."""
     return vehicles.withWatermark("at", delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -69,5 +98,3 @@ def metrics_text(values: DataFrame) -> DataFrame:
     labels = F.when(F.size("labels") > 0, F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).otherwise("")
     return values.select(F.concat("name", labels, F.lit(" "), F.col("value").cast("string")).alias("line"))
 
-
-SCHEMAS = domain.TOPICS

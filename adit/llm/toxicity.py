@@ -48,10 +48,17 @@ _MARKS = ".,;:!?\"'()[]{}#*$%&|<>/\\-_=+~`"
 
 def terms_of(text: str) -> dict[str, int]:
     """How often each word stands in the text."""
-    found: dict[str, int] = {}
-    for word, n in Counter(text.lower().split()).items():
-        if word := word.strip(_MARKS):
-            found[word] = found.get(word, 0) + n
+    words, found = Counter(text.lower().split()), {}
+    for word, n in zip(map(str.strip, words, repeat(_MARKS)), words.values(), strict=True):
+        found[word] = found[word] + n if word in found else n
+    found.pop("", None)
+    return found
+
+
+def distinct_terms(text: str) -> set[str]:
+    """The keys of ``terms_of``."""
+    found = set(map(str.strip, set(text.lower().split()), repeat(_MARKS)))
+    found.discard("")
     return found
 
 
@@ -131,15 +138,17 @@ class Index:
         if not len(t) or not self.n:
             return []
         starts, ends = self.first[t], self.first[t + 1]
-        found = np.concatenate([self.postings[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]).view(np.int32).reshape(-1, 2)
-        sums = np.bincount(found[:, 0], found[:, 1].view(np.float32) * np.repeat(w.astype(float), ends - starts), self.n)
+        some = ends > starts
+        sizes = (ends - starts)[some]
+        found = np.concatenate([self.postings[:0], *map(self.postings.__getitem__, map(slice, starts[some].tolist(), ends[some].tolist()))]).view(np.int32)
+        sums = np.bincount(found[::2], found[1::2].view(np.float32) * np.repeat(w[some], sizes), self.n)
         in_long = self.long[t] >= 0
         query = np.zeros(self.lists.shape[1], np.float32)
         query[self.long[t[in_long]]] = w[in_long]
         most = sums + np.repeat((query @ self.highest) * (1 + 1e-5) + 1e-6, BLOCK)[: self.n]  # rounding never hides a neighbour
         if without >= 0:
             most[without] = 0
-        first = np.argpartition(-most, k)[:k] if self.n > k else np.arange(self.n)
+        first = np.argpartition(most, self.n - k)[-k:] if self.n > k else np.arange(self.n)
         worst = (sums[first] + self.lists[first] @ query).min() if len(first) == k else 0.0
         live = np.flatnonzero(most >= worst - 1e-6)  # the others stay closed
         if without >= 0:
@@ -197,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         def work(columns):
             n = (Counter(), Counter())
             for text, y in zip(*columns, strict=True):
-                n[y].update(terms_of(text).keys())
+                n[y].update(distinct_terms(text))
             found = list(n[0] | n[1])
             return [found, [n[0][t] for t in found], [n[1][t] for t in found]]
 
@@ -276,7 +285,7 @@ def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 texts = batch.column(0).slice(start, 64).to_pylist()
-                found = [i for i in map(ids.get, chain.from_iterable(map(terms_of, texts))) if i is not None]
+                found = [i for i in map(ids.get, chain.from_iterable(map(distinct_terms, texts))) if i is not None]
                 np.add.at(seen, np.array(found, np.int64), 1)
                 rows += len(texts)
         at = np.flatnonzero(seen)
@@ -293,10 +302,16 @@ def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_co
     opened, steps = (None, None) if index is None else (_opened(index), index.steps)
 
     def make():
-        index = opened and opened()
+        index, known = opened and opened(), {}
 
         def work(columns):
-            found = [(0.0, [])] * len(columns[0]) if index is None else [index.score(t, steps) for t in columns[1]]
+            if index is None:
+                found = [(0.0, [])] * len(columns[0])
+            else:
+                for t in set(columns[1]).difference(known):
+                    known[t] = index.score(t, steps)
+                found = list(map(known.__getitem__, columns[1]))
+                known.clear()
             return [columns[0], [min(1.0, max(0.0, s)) for s, _ in found], [e for _, e in found]]
 
         return work

@@ -6,8 +6,8 @@ rf = log2(2 + a / max(1, c)) is the relevance frequency of the labelled examples
 toxic and the other examples that have the term. No term of any example is left out.
 
 The index holds the examples' terms as posting lists. Short lists are added up in full. A long
-list knows its largest weight in each block of ``BLOCK`` examples; the sums of these bound what the
-long lists can add anywhere in a block, and an example is opened (its own weights in the long lists
+list knows its largest weight in each block of ``BLOCK`` examples; the sums of these (one matrix
+product for ``TOGETHER`` texts) bound what the long lists can add anywhere in a block, and an example is opened (its own weights in the long lists
 are read) only if short sum plus block bound reaches the worst of as many examples as are wanted. So the
 ``NEIGHBOURS`` nearest examples are exact. They vote with their cosine; votes are turned into
 probabilities by isotonic regression on the examples, each scored without itself, equal votes
@@ -26,6 +26,7 @@ of cosine go to the example that comes first in the index.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 from itertools import chain, repeat
 
@@ -39,8 +40,10 @@ from adit.llm.statistics import labelled_sample
 
 LABELLED = 20_000
 NEIGHBOURS = 15
-BLOCK = 16
-LONG = 1 / 4  # a list is long if this share of the examples has the term
+BLOCK = 4
+LONG = 1 / 10  # a list is long if this share of the examples has the term
+FIRST = 8  # times as many examples as are wanted, opened to find the least cosine that counts
+TOGETHER = 64  # texts that are bounded at once
 ACCEPT = 0.3
 FOLDS, HELD = 4, 2
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>/\\-_=+~`"
@@ -135,6 +138,23 @@ class Index:
 
         Only examples that share a term with the query count.
         """
+        return next(self.nearest_of([(t, w)], k, [without]))
+
+    def nearest_of(self, queries: list[tuple], k: int = NEIGHBOURS, without: Iterable[int] = repeat(-1)) -> Iterator[list[tuple[float, int]]]:
+        """``nearest`` for each query; long lists are bounded for ``TOGETHER`` queries at once."""
+        without = iter(without)
+        for start in range(0, len(queries), TOGETHER):
+            part = queries[start : start + TOGETHER]
+            weights = np.zeros((len(part), self.lists.shape[1]), np.float32)
+            for row, (t, w) in zip(weights, part, strict=True):
+                at = self.long[t]
+                row[at[at >= 0]] = w[at >= 0]
+            bounds = (weights @ self.highest) * np.float32(1 + 1e-5) + np.float32(1e-6)  # rounding never hides a neighbour
+            for query, own, bound in zip(part, weights, bounds, strict=True):
+                yield self._nearest(*query, own, bound, k, next(without))
+
+    def _nearest(self, t: np.ndarray, w: np.ndarray, query: np.ndarray, bound: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
+        """``query``: the weights in the long lists; ``bound``: what these can add, by block."""
         if not len(t) or not self.n:
             return []
         starts, ends = self.first[t], self.first[t + 1]
@@ -142,14 +162,12 @@ class Index:
         sizes = (ends - starts)[some]
         found = np.concatenate([self.postings[:0], *map(self.postings.__getitem__, map(slice, starts[some].tolist(), ends[some].tolist()))]).view(np.int32)
         sums = np.bincount(found[::2], found[1::2].view(np.float32) * np.repeat(w[some], sizes), self.n)
-        in_long = self.long[t] >= 0
-        query = np.zeros(self.lists.shape[1], np.float32)
-        query[self.long[t[in_long]]] = w[in_long]
-        most = sums + np.repeat((query @ self.highest) * (1 + 1e-5) + 1e-6, BLOCK)[: self.n]  # rounding never hides a neighbour
+        most = sums + np.repeat(bound, BLOCK)[: self.n]
         if without >= 0:
             most[without] = 0
-        first = np.argpartition(most, self.n - k)[-k:] if self.n > k else np.arange(self.n)
-        worst = (sums[first] + self.lists[first] @ query).min() if len(first) == k else 0.0
+        first = np.argpartition(most, self.n - FIRST * k)[-FIRST * k :] if self.n > FIRST * k else np.arange(self.n)
+        first = first[first != without]
+        worst = np.sort(sums[first] + self.lists[first] @ query)[-k] if len(first) > k else 0.0
         live = np.flatnonzero(most >= worst - 1e-6)  # the others stay closed
         if without >= 0:
             live = live[live != without]
@@ -161,12 +179,13 @@ class Index:
         total = sum(c for c, _ in near)
         return sum(c * self.labels[j] for c, j in near) / total if total else self.empty_score
 
-    def score(self, text: str, steps: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
-        """The score calibrated by ``steps`` and the ids of the nearest examples."""
-        near = self.nearest(*self.weights.vector(text))
-        if not near:
-            return self.empty_score, []
-        return float(np.interp(self.vote(near), *steps)), [int(self.ids[j]) for _, j in near[:3]]
+    def scores(self, texts: list[str], steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, list[int]]]:
+        """For each text the score calibrated by ``steps`` and the ids of the nearest examples."""
+        for near in self.nearest_of(list(map(self.weights.vector, texts))):
+            if near:
+                yield float(np.interp(self.vote(near), *steps)), [int(self.ids[j]) for _, j in near[:3]]
+            else:
+                yield self.empty_score, []
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -268,7 +287,7 @@ def _votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
 
         def work(columns):
             own = [at.get((i, y), -1) for i, y in zip(*columns[:2], strict=True)]  # -1: without terms, so not in the index
-            return [own, [index.vote(index.nearest(*index.weights.vector(t), without=j)) if j >= 0 else 0.0 for j, t in zip(own, columns[2], strict=True)]]
+            return [own, list(map(index.vote, index.nearest_of(list(map(index.weights.vector, columns[2])), without=own)))]
 
         return work
 
@@ -302,16 +321,15 @@ def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_co
     opened, steps = (None, None) if index is None else (_opened(index), index.steps)
 
     def make():
-        index, known = opened and opened(), {}
+        index = opened and opened()
 
         def work(columns):
             if index is None:
                 found = [(0.0, [])] * len(columns[0])
             else:
-                for t in set(columns[1]).difference(known):
-                    known[t] = index.score(t, steps)
+                texts = list(set(columns[1]))
+                known = dict(zip(texts, index.scores(texts, steps), strict=True))
                 found = list(map(known.__getitem__, columns[1]))
-                known.clear()
             return [columns[0], [min(1.0, max(0.0, s)) for s, _ in found], [e for _, e in found]]
 
         return work

@@ -115,6 +115,14 @@ def test_long_lists_are_bounded_by_block():
         cosines = dense[:, t] @ w
         cosines[j] = 0
         assert np.allclose([c for c, _ in index.nearest(t, w, without=j)], np.sort(cosines)[::-1][:15], atol=1e-6)
+    # queries together give what each gives alone; an index of few examples opens all of them
+    alone = [index.nearest(t, w, without=j) for j, (t, w) in enumerate(vectors[:200])]
+    assert list(index.nearest_of(vectors[:200], without=range(200))) == alone
+    few = toxicity.Index({str(i): i for i in range(405)}, np.ones(405), vectors[:40], np.zeros(40), np.arange(40))
+    for j, (t, w) in enumerate(vectors[:40]):
+        cosines = dense[:40, t] @ w
+        cosines[j] = 0
+        assert np.allclose([c for c, _ in few.nearest(t, w, 3, without=j)], [c for c in np.sort(cosines)[::-1][:3] if c > 1e-7], atol=1e-6)
 
 
 def test_texts_without_terms_and_repeated_ids(spark):

@@ -70,11 +70,26 @@ def relevance(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.log2(2 + toxic / np.maximum(1, other))
 
 
+class Terms:
+    """The terms in the order of their numbers; the dictionary is made only where texts are read."""
+
+    def __init__(self, terms: pa.Array):
+        self.terms = terms
+
+    @cached_property
+    def number(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.terms.to_pylist())}
+
+
 class Weights:
     """The terms' numbers and weights; makes vectors of texts."""
 
-    def __init__(self, term_id: dict[str, int], weight: np.ndarray):
-        self.term_id, self.weight = term_id, weight
+    def __init__(self, terms: Terms | dict[str, int], weight: np.ndarray):
+        self.terms, self.weight = terms, weight
+
+    @property
+    def term_id(self) -> dict[str, int]:
+        return self.terms if isinstance(self.terms, dict) else self.terms.number
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, ascending, and weights of length 1."""
@@ -91,26 +106,33 @@ class Weights:
 class Index:
     """Examples, sorted so that alike ones share blocks, under their terms."""
 
-    def __init__(self, term_id, weight, vectors, labels, ids, empty_score: float = 0.0):
-        self.weights = Weights(term_id, np.asarray(weight))
+    def __init__(self, terms, weight, vectors, labels, ids, empty_score: float = 0.0):
+        self.weights = Weights(terms, np.asarray(weight))
         self.labels, self.ids, self.empty_score = np.asarray(labels, float), np.asarray(ids), empty_score
         self.steps = (np.zeros(1), np.zeros(1))
-        n, terms = len(vectors), len(self.weights.weight)
+        n, size = len(vectors), len(self.weights.weight)
         self.n, self.blocks = n, (n + BLOCK - 1) // BLOCK
-        example = np.repeat(np.arange(n, dtype=np.min_scalar_type(n)), [len(t) for t, _ in vectors])
         term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32, copy=False)
-        value = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]]).astype(np.float32, copy=False)
-        long = np.flatnonzero(np.bincount(term, minlength=terms) > max(1, n * LONG))
+        order = np.argsort(term, kind="stable")
+        sizes = np.bincount(term, minlength=size)
+        #: where each term's list begins in ``examples`` and ``values``
+        self.first = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        self.examples = np.repeat(np.arange(n, dtype=np.min_scalar_type(n)), [len(t) for t, _ in vectors])[order]
+        self.values = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]]).astype(np.float32, copy=False)[order]
+        long = np.flatnonzero(sizes > max(1, n * LONG))
         #: the number of each term's long list, or -1
-        self.long = np.full(terms, -1, np.int32)
+        self.long = np.full(size, -1, np.int32)
         self.long[long] = np.arange(len(long))
-        # short lists, by term; long lists as a matrix, and their block maxima
-        short = self.long[term] < 0
-        order = np.argsort(term[short], kind="stable")
-        self.examples, self.values = example[short][order], value[short][order]
-        self.first = np.searchsorted(term[short][order], np.arange(terms + 1)).astype(np.int32)
-        self.lists = np.zeros((self.blocks * BLOCK, len(long)), np.float32)
-        self.lists[example[~short], self.long[term[~short]]] = value[~short]
+
+    @cached_property
+    def lists(self) -> np.ndarray:
+        """The long lists as a matrix: a row for each example, blocks filled up."""
+        long = np.flatnonzero(self.long >= 0)
+        lists = np.zeros((self.blocks * BLOCK, len(long)), np.float32)
+        for at, t in enumerate(long):
+            one = slice(self.first[t], self.first[t + 1])
+            lists[self.examples[one], at] = self.values[one]
+        return lists
 
     @cached_property
     def postings(self) -> np.ndarray:
@@ -127,11 +149,11 @@ class Index:
     def shared(self, spark: SparkSession):
         """The terms and the rest as broadcast variables, made once."""
         if not hasattr(self, "_shared"):
-            self._shared = spark.sparkContext.broadcast(self.weights.term_id), spark.sparkContext.broadcast(self)
+            self._shared = spark.sparkContext.broadcast(self.weights.terms), spark.sparkContext.broadcast(self)
         return self._shared
 
     def __getstate__(self):  # terms go apart
-        return {k: v for k, v in self.__dict__.items() if k not in ("_shared", "postings", "highest")} | {"weights": Weights({}, self.weights.weight)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_shared", "lists", "postings", "highest")} | {"weights": Weights({}, self.weights.weight)}
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples as (cosine, position), nearest first, ties by position.
@@ -158,7 +180,7 @@ class Index:
         if not len(t) or not self.n:
             return []
         starts, ends = self.first[t], self.first[t + 1]
-        some = ends > starts
+        some = (ends > starts) & (self.long[t] < 0)
         sizes = (ends - starts)[some]
         found = np.concatenate([self.postings[:0], *map(self.postings.__getitem__, map(slice, starts[some].tolist(), ends[some].tolist()))]).view(np.int32)
         sums = np.bincount(found[::2], found[1::2].view(np.float32) * np.repeat(w[some], sizes), self.n)
@@ -233,10 +255,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
 
     counted = map_rows(rows.select("text", "label"), "term string, d0 long, d1 long", counting)
     counted = counted.groupBy("term").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")).toArrow().sort_by("term")  # the sample's terms
-    term_id = {t: i for i, t in enumerate(counted["term"].to_pylist())}  # numbers do not hang on the order of rows
+    numbers = Terms(counted["term"].combine_chunks())  # sorted: numbers do not hang on the order of rows
     d0, d1 = (np.array(counted[c], float) for c in ("d0", "d1"))
-    terms = context.broadcast(term_id)
-    df, total = document_frequencies(docs, terms)
+    terms = context.broadcast(numbers)
+    df, total = document_frequencies(docs, terms, len(d0))
     weight = np.log((1 + total) / (1 + df)) * relevance(d1, d0)
     weights = context.broadcast(weight)
 
@@ -250,10 +272,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         return work
 
     made = map_rows(rows, "doc_id long, label int, t binary, w binary", vectors).toArrow()
-    made = [(np.frombuffer(t, np.int32), np.frombuffer(w, np.float32), y, i) for t, w, y, i in zip(*[made[c].to_pylist() for c in ("t", "w", "label", "doc_id")], strict=True)]
+    made = [
+        (np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.float32), y.as_py(), i.as_py())
+        for t, w, y, i in zip(*[made[c] for c in ("t", "w", "label", "doc_id")], strict=True)
+    ]
     full = sorted((r for r in made if len(r[0])), key=lambda r: _place(r, weight, df))
     empty = [r[2] for r in made if not len(r[0])] or [r[2] for r in made]
-    index = Index(term_id, weight, [r[:2] for r in full], [r[2] for r in full], [r[3] for r in full], float(np.mean(empty)))
+    index = Index(numbers, weight, [r[:2] for r in full], [r[2] for r in full], [r[3] for r in full], float(np.mean(empty)))
     del made, full
     index._shared = terms, context.broadcast(index)
     index.steps = isotonic(*_votes(rows, index))
@@ -271,7 +296,7 @@ def _opened(index: Index):
     terms, rest = index.shared(SparkSession.active())
 
     def make() -> Index:
-        rest.value.weights.term_id = terms.value
+        rest.value.weights.terms = terms.value
         return rest.value
 
     return make
@@ -295,12 +320,12 @@ def _votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
     return np.array(found["vote"], float), index.labels[np.array(found["at"])]
 
 
-def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term (of the broadcast ``term_id``) stands, and their number."""
+def document_frequencies(docs: DataFrame, terms, size: int) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term (of the broadcast ``terms``, ``size`` of them) stands, and their number."""
 
     def run(batches):
-        ids, rows = term_id.value, 0
-        seen = np.zeros(len(ids), np.int64)
+        ids, rows = terms.value.number, 0
+        seen = np.zeros(size, np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 texts = batch.column(0).slice(start, 64).to_pylist()
@@ -311,7 +336,7 @@ def document_frequencies(docs: DataFrame, term_id) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at)), pa.array(np.append(rows, seen[at]))], names=["term", "n"])
 
     counted = docs.select(text_of("text").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    found = np.zeros(len(term_id.value) + 1)
+    found = np.zeros(size + 1)
     found[np.array(counted["term"])] = np.array(counted["n"])
     return found[:-1], int(found[-1])
 

@@ -36,6 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own, wherever it is stored."""
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through the folder that all executors share."""
     context = df.sparkSession.sparkContext

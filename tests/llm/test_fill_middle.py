@@ -38,7 +38,7 @@ def held_to_plain(docs, units=lambda t: [1] * len(t), **kw):
     return found
 
 
-@pytest.mark.parametrize("run", [1, 7, 1024])
+@pytest.mark.parametrize("run", [1, 7, 1024, 4096])
 def test_matches_a_plain_version(spark, documents, awkward, empty, run):
     pairs = [(i if i % 5 else None, t) for i, t in enumerate(SPLITS * 5)]
     tricky = spark.createDataFrame(pairs, "doc_id long, text string")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+BLOCK = 3_600_000  # of arrival, in milliseconds: an hour of one sensor is ordered at a time
+
 
 def latest(df: DataFrame, keys: list, version: list) -> DataFrame:
     """One row per key: the one with the largest version (ties fall to the later columns).
@@ -47,19 +49,49 @@ def sequence_gaps(detections: DataFrame) -> DataFrame:
     return per.select("sensor_id", "boot_id", "received", "accepted", (F.col("received") - F.col("accepted")).alias("duplicates"), (F.col("high") - F.col("low") + 1 - F.col("accepted")).alias("lost"))
 
 
-def by_sequence(detections: DataFrame, window: int = 512) -> DataFrame:
+def by_sequence(detections: DataFrame, window: int = 512, block: int = BLOCK) -> DataFrame:
     """Messages that count, by their sensor's sequence numbers (``sensor_id, boot_id, seq, arrival``).
 
     In order of arrival, a sensor's rows fall into runs of one boot. In a run a number counts once,
-    and not if it lies ``window`` or more below the highest number before it. One shuffle by sensor.
+    and not if it lies ``window`` or more below the highest number before it.
+
+    A scan in two levels: rows are ordered only within a sensor's blocks of ``block`` units of arrival;
+    each block is summed up (boots at its ends, changes of boot, highest number since the last one),
+    and what a block needs to know of the past comes from a scan of these few summaries. Any width
+    gives the same rows, so a sensor's history never lies in one task.
     """
-    sensor = W.partitionBy("sensor_id").orderBy("arrival", "message_id")
-    run = W.partitionBy("sensor_id", "_run").orderBy("arrival", "message_id")
-    began = F.coalesce((F.col("boot_id") != F.lag("boot_id").over(sensor)).cast("int"), F.lit(0))
-    rows = detections.withColumn("_began", began).withColumn("_run", F.sum("_began").over(sensor))
-    rows = rows.withColumn("_top", F.max("seq").over(run.rowsBetween(W.unboundedPreceding, -1)))
-    rows = rows.withColumn("_again", F.row_number().over(W.partitionBy("sensor_id", "_run", "seq").orderBy("arrival", "message_id")))
-    return rows.where((F.col("_again") == 1) & (F.col("_top").isNull() | (F.col("seq") > F.col("_top") - window))).drop("_began", "_run", "_top", "_again")
+    order = ["arrival", "message_id"]
+    part = ["sensor_id", "_block"]
+    rows = detections.withColumn("_block", F.floor(F.col("arrival") / block))
+    inside = W.partitionBy(*part).orderBy(*order)
+    rows = rows.withColumn("_began", F.coalesce((F.col("boot_id") != F.lag("boot_id").over(inside)).cast("int"), F.lit(0)))
+    rows = rows.withColumn("_run", F.sum("_began").over(inside))
+    blocks = rows.groupBy(*part).agg(
+        F.min_by("boot_id", F.struct(*order)).alias("_first"), F.max_by("boot_id", F.struct(*order)).alias("_last"),
+        F.max("_run").alias("_changes"), F.max(F.struct("_run", "seq")).alias("_tail"),
+    )
+    blocks = carried_runs(blocks)
+    run = W.partitionBy(*part, "_run").orderBy(*order)
+    rows = rows.withColumn("_top", F.max("seq").over(run.rowsBetween(W.unboundedPreceding, -1))).join(blocks, part)
+    goes_on = F.col("_run") == 0
+    rows = rows.withColumns({"_top": F.greatest("_top", F.when(goes_on, F.col("_carried"))), "_run": F.col("_run") + F.col("_head")})
+    rows = rows.withColumn("_again", F.row_number().over(W.partitionBy("sensor_id", "_run", "seq").orderBy(*order)))
+    counts = (F.col("_again") == 1) & (F.col("_top").isNull() | (F.col("seq") > F.col("_top") - window))
+    return rows.where(counts).select(*detections.columns)
+
+
+def carried_runs(blocks: DataFrame) -> DataFrame:
+    """``sensor_id, _block, _head, _carried`` of blocks: the number of the run that a block begins in, and
+    the highest number of that run in all blocks before."""
+    by_time = W.partitionBy("sensor_id").orderBy("_block")
+    before = by_time.rowsBetween(W.unboundedPreceding, -1)
+    began = F.coalesce((F.col("_first") != F.lag("_last").over(by_time)).cast("int"), F.lit(0))
+    runs = blocks.withColumn("_new", began)
+    runs = runs.withColumn("_head", F.coalesce(F.sum(F.col("_new") + F.col("_changes")).over(before), F.lit(0)) + F.col("_new"))
+    # runs are numbered in order of time: the largest pair holds the last run before, and its highest number
+    past = F.max(F.struct((F.col("_head") + F.col("_changes")).alias("run"), F.col("_tail.seq").alias("top"))).over(before)
+    runs = runs.withColumn("_past", past)
+    return runs.select("sensor_id", "_block", "_head", F.when(F.col("_past.run") == F.col("_head"), F.col("_past.top")).alias("_carried"))
 
 
 def first_per_key(df: DataFrame, key: str, order: list, k: int = 1) -> DataFrame:

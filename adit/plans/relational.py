@@ -164,7 +164,8 @@ def sensed(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("event_id")
     s = events(spark, d).select(
         "event_id", F.element_at(F.array(*map(F.lit, binding.TUNNELS)), (F.col("user_id") % 6 + 1).cast("int")).alias("tunnel_id"), (i % 2).alias("direction"), (i % 3).alias("lane"),
-        F.timestamp_diff("MILLISECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts")).alias("t0"), (i % 60 + 40).alias("speed"),
+        # the nearest millisecond, as the SQL has it
+        F.floor((F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts")) + 500) / 1000).alias("t0"), (i % 60 + 40).alias("speed"),
     )
     return s.withColumn("hop", F.bround(F.lit(90_000_000) / (F.col("speed") * 50)).cast("bigint"))
 

@@ -7,10 +7,10 @@ import traffic
 from pyspark.sql import functions as F
 
 from adit.operators.dedup import by_sequence
+from adit.operators.lineage import checkpointed
 from adit.sources import domain
 from adit.streaming import fusion
 
-FIELDS = [c.split()[0] for c in fusion.INPUT.split(", ")]
 START = 1_750_000_000_000
 
 
@@ -121,10 +121,103 @@ def test_the_choice_is_that_of_a_plain_search(spark):
     assert any(len(ids) == 2 for ids in found) and any(len(ids) == 1 for ids in found)
 
 
-def test_sequence_numbers(spark):
-    sent = [("x", 5), ("x", 5), ("x", 9), ("x", 6), ("x", 600), ("x", 88), ("x", 89), ("y", 6), ("y", 7), ("x", 9)]
-    rows = spark.createDataFrame([(k, f"m{k}", "s", b, n) for k, (b, n) in enumerate(sent)], "arrival long, message_id string, sensor_id string, boot_id string, seq long")
-    assert sorted(r["arrival"] for r in by_sequence(rows).collect()) == [0, 2, 3, 4, 6, 7, 8, 9]  # 88 is 512 behind, 89 is not; boot x comes back
+def plain_sequence(sent, window=512):
+    """Places of the messages (sensor, boot, number) that count."""
+    out, of = [], {}
+    for k, (sensor, boot, n) in enumerate(sent):
+        last, top, seen = of.get(sensor, (None, None, set()))
+        if boot != last:
+            top, seen = None, set()
+        if n not in seen and (top is None or n > top - window):
+            out.append(k)
+        of[sensor] = boot, n if top is None else max(n, top), seen | {n}
+    return out
+
+
+def messages(n, seed):
+    import random
+
+    rng, sent, at = random.Random(seed), [], {}
+    for _ in range(n):
+        sensor = rng.choice("pqr")
+        boot, number = at.get(sensor, ("x", 0))
+        if rng.random() < 0.004:
+            boot, number = rng.choice("xyz"), rng.randrange(100)
+        number += rng.choice((0, 1, 1, 1, 2, 40))
+        at[sensor] = boot, number
+        sent.append((sensor, boot, max(0, number - rng.choice((0, 0, 0, 0, 1, 3, 100, 500, 530, 600)))))
+    return sent
+
+
+@pytest.mark.parametrize("block", [1, 7, 300, 10**9])
+def test_sequence_numbers(spark, block):
+    sent = [("s", b, n) for b, n in [("x", 5), ("x", 5), ("x", 9), ("x", 6), ("x", 600), ("x", 88), ("x", 89), ("y", 6), ("y", 7), ("x", 9)]]
+    assert plain_sequence(sent) == [0, 2, 3, 4, 6, 7, 8, 9]  # 88 is 512 behind, 89 is not; boot x comes back
+    for sent in (sent, messages(1500, block)):
+        rows = spark.createDataFrame([(k, f"m{k}", s, b, n) for k, (s, b, n) in enumerate(sent)], "arrival long, message_id string, sensor_id string, boot_id string, seq long")
+        assert sorted(r["arrival"] for r in by_sequence(rows, block=block).collect()) == plain_sequence(sent)
+
+
+def test_no_task_orders_a_whole_history(spark):
+    """Rows are sorted by blocks; only summaries (after an aggregation) are sorted by sensor or tunnel."""
+    rows = spark.createDataFrame([], "arrival long, message_id string, sensor_id string, boot_id string, seq long")
+    average = fusion.moving_average(rows, ["sensor_id"], ["arrival", "message_id"], F.col("seq"), F.lit(0.0), 0.02)
+    for df in (by_sequence(rows), average):
+        for node in windows_of(df):
+            parts = [p for p in node["by"] if p]
+            assert any(p.startswith(("_block", "_run")) for p in parts) or node["summed"], node
+
+
+def windows_of(df):
+    """The window nodes of a plan: what they partition by, and whether an aggregation lies below before any scan."""
+    out = []
+
+    def walk(node):
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        if node.nodeName() == "Window":
+            by = [node.partitionSpec().apply(i).toString().split("#")[0] for i in range(node.partitionSpec().size())]
+            out.append({"by": by, "summed": "Aggregate" in node.child().toString()})
+
+    walk(df._jdf.queryExecution().optimizedPlan())
+    assert out
+    return out
+
+
+def test_a_chain_of_rivals_is_settled_to_its_end(spark):
+    # each group shares a detection with the next and is better than it: they go one by one
+    n = 130
+    seen = "array<struct<message_id:string>>"
+    rows = [(k, "T", float(k), [{"message_id": f"m{k}"}, {"message_id": f"m{k + 1}"}]) for k in range(n)]
+    groups = spark.createDataFrame([*rows, (n, "U", 0.5, [{"message_id": "m0"}])], f"id long, tunnel_id string, score double, seen {seen}")
+    taken = sorted((r["tunnel_id"], r["seen"][0]["message_id"]) for r in fusion.matched(checkpointed(groups)).collect())
+    assert taken == sorted([("T", f"m{k}") for k in range(0, n, 2)] + [("U", "m0")])  # an id of another tunnel is no rival
+    linked = fusion.open_detections(groups, spark.createDataFrame([("T", "m7")], "tunnel_id string, message_id string"))
+    assert linked.count() == n + 1
+
+
+@pytest.mark.parametrize("block", [1, 50, 10**9])
+def test_a_moving_average_is_that_of_a_plain_fold(spark, block):
+    import random
+
+    rng = random.Random(block)
+    rows = [(f"k{i % 3}", rng.randrange(400), i, rng.uniform(0, 9), float(i % 3)) for i in range(300)]
+    found = fusion.moving_average(spark.createDataFrame(rows, "k string, at long, id long, x double, p double"), ["k"], ["at", "id"], F.col("x"), F.col("p"), 0.02, block)
+    for r in found.collect():
+        ema, own = float(r["k"][1]), sorted((x for x in rows if x[0] == r["k"]), key=lambda x: x[1:3])
+        for *_, x, _ in own:
+            ema += 0.02 * (x - ema)
+        assert r["ema"] == pytest.approx(ema) and r["n"] == len(own)
+
+
+def test_votes_of_parts_add_up(spark):
+    rows = [(p, 61_000 * k + int(i * 1000 * 620 / 25), {"plate": f"K {k}", "length": 9.5}) for k in range(20) for i, p in enumerate(domain.POSITIONS)]
+    seen = fusion.placed(sensed(spark, rows))
+    a, b = seen.where("pmod(xxhash64(message_id), 2) = 0"), seen.where("pmod(xxhash64(message_id), 2) = 1")
+    parts = fusion.added_votes(fusion.spacing_votes(a), fusion.spacing_votes(b), fusion.spacing_votes(a, b), fusion.spacing_votes(b, a))
+    weights = lambda votes: {r["bin"]: (r["weight"], r["mass"]) for r in votes.collect()}
+    whole = weights(fusion.spacing_votes(seen))
+    assert weights(parts) == {k: pytest.approx(v) for k, v in whole.items()} and whole
 
 
 def test_spacing_is_the_peak_of_a_plain_histogram(spark):
@@ -189,35 +282,6 @@ def test_quality_with_degraded_sensors(spark, known):
     assert accuracy > 0.94
 
 
-def test_a_stream_gives_the_events_of_the_table(spark, known, tmp_path):
-    seen = traffic.detections(traffic.vehicles(spark, domain.profiles(spark), 60, rate_s=0.03)).select(*FIELDS).withColumn("at", F.timestamp_millis("ts")).cache()
-    cuts = [0, *seen.approxQuantile("arrival", [0.33, 0.66], 0.01), 2**62]
-    for low, high in zip(cuts, cuts[1:], strict=False):  # each run goes on where the last one stopped
-        seen.where((F.col("arrival") >= low) & (F.col("arrival") < high)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(seen.schema).parquet(str(tmp_path / "in"))
-        fusion.fuse_stream(stream, known, str(tmp_path / "out"), str(tmp_path / "cp"), lateness="30 days", idle_s=None).awaitTermination(300)
-    events = spark.read.parquet(str(tmp_path / "out/events"))
-    streamed = {r["event_id"]: r["detections"] for r in events.collect()}
-    table = {r["event_id"]: r["detections"] for r in fusion.fuse(seen, known).collect()}
-    assert events.count() == len(streamed) > 50
-    assert {i: (d, table.get(i)) for i, d in streamed.items() if table.get(i) != d} == {}
-    pending = {r["message_id"] for r in spark.read.parquet(f"{tmp_path}/out/pending/batch={events.agg(F.max('batch')).first()[0]}").collect()}
-    assert {m for d in table.values() for m in d} == {m for d in streamed.values() for m in d} | pending  # nothing is lost
-
-
-def test_rows_behind_the_watermark_are_late(spark, known, tmp_path):
-    def write(name, ms):
-        rows = sensed(spark, [(p, ms + 150_000 * i, {"tunnel": "TR-BOLU", "speed": 39.6, "lane": 1}) for i, p in enumerate(domain.POSITIONS)])
-        rows.withColumns({"message_id": F.concat(F.lit(name), "message_id"), "seq": F.col("seq") + ms, "at": F.timestamp_millis("ts")}).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-
-    for name, ms in (("a", 10**7), ("b", 3 * 10**7), ("late", 0)):
-        write(name, ms)
-        stream = spark.readStream.schema(fusion.INPUT + ", at timestamp").parquet(str(tmp_path / "in"))
-        fusion.fuse_stream(stream, known, str(tmp_path / "out"), str(tmp_path / "cp"), lateness="10 minutes").awaitTermination(300)
-    taken = {m for r in spark.read.parquet(str(tmp_path / "out/events")).collect() for m in r["detections"]}
-    assert any(m.startswith("a") for m in taken) and not any(m.startswith("late") for m in taken)
-
-
 def test_traffic_windows_have_idle_tunnels_and_gaps(spark):
     rows = [("start", 0), ("middle", 30_000), ("end", 60_000), ("start", 300_000), ("middle", 330_000), ("end", 360_000)]
     known = spark.createDataFrame([("T9", 750.0)], "tunnel_id string, half_m double")

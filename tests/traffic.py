@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from adit.functions.scalar import minute_of_day, plate_body
 from adit.sources.domain import CLASSES, DIRECTIONS, POSITIONS, UNKNOWN
 
-# Mix of types in percent, usual length in metres.
-MIX = {"OTOMOBIL": 55.0, "HAFIF_TICARI": 12.0, "KAMYON": 12.0, "CEKICI_YARI_ROMORK": 9.0, "OTOBUS": 5.0, "MINIBUS": 4.0, "MOTOSIKLET": 1.5, "OZEL_AMACLI_TASIT": 1.0, "TRAKTOR": 0.5}
-LENGTHS = {"OTOMOBIL": 4.5, "HAFIF_TICARI": 5.5, "KAMYON": 9.0, "CEKICI_YARI_ROMORK": 16.0, "OTOBUS": 12.0, "MINIBUS": 6.5, "MOTOSIKLET": 2.2, "OZEL_AMACLI_TASIT": 8.0, "TRAKTOR": 4.0}
+# All types but the unknown one alike often, each 1.5 m longer than the one before.
+TYPES = [c for c in CLASSES if c != UNKNOWN]
+LENGTHS = {kind: 3.0 + 1.5 * k for k, kind in enumerate(TYPES)}
 VIOLATION, SPEEDERS, DUPLICATES, BURST = 0.02, 0.01, 0.005, 1.5
 BURST_MINUTES = (17 * 60, 20 * 60)
 
@@ -42,11 +42,7 @@ def vehicles(spark: SparkSession, tunnels: DataFrame, per_tunnel: int, rate_s: f
     at = F.timestamp_millis((F.lit(t0_ms) + F.col("offset_s") * 1000).cast("long"))
     minute = minute_of_day(F.from_utc_timestamp(at, "Europe/Istanbul"))
     burst = (minute >= BURST_MINUTES[0]) & (minute < BURST_MINUTES[1])
-    u = draw(seed, "tunnel_id", "n", F.lit("type")) * sum(MIX.values())
-    kind, upto = F.lit(list(MIX)[-1]), sum(MIX.values())
-    for name, share in reversed(MIX.items()):  # the first type whose cumulative share exceeds u
-        kind = F.when(u < upto, name).otherwise(kind)
-        upto -= share
+    kind = F.get(F.array(*map(F.lit, TYPES)), F.floor(draw(seed, "tunnel_id", "n", F.lit("type")) * len(TYPES)).cast("int"))
     fast = draw(seed, "tunnel_id", "n", F.lit("fast")) < SPEEDERS
     speed = F.when(fast, F.col("speed_limit_kmh") * (1.15 + 0.3 * draw(seed, "tunnel_id", "n", F.lit("over")))).otherwise(
         F.least(F.greatest(F.col("speed_limit_kmh") * (0.9 + 0.06 * normal(seed, "tunnel_id", "n", F.lit("speed"))), F.lit(30.0)), F.col("speed_limit_kmh"))

@@ -43,16 +43,12 @@ def splitter(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-_END = 65_535  # stands beside the first and the last token of each word; merges with nothing
-
-
 class MergeReplay:
     """Encodes words by replaying the merges of ``ranks`` over all of them at once."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        if len(ranks) >= _END or max(ranks.values(), default=0) >= _END:
-            raise ValueError(f"more than {_END - 1} ranks")
         self.ranks = ranks
+        self.end = max(ranks.values(), default=0) + 1  # stands beside the first and the last token of each word; merges with nothing
         self.token = {rank: token for token, rank in ranks.items()}
         self.decimal = {rank: str(rank) for rank in self.token}
         self.words = splitter(pattern).findall
@@ -102,7 +98,7 @@ class MergeReplay:
         data = np.frombuffer(b"".join(parts), np.uint8)
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
         n, nowhere = len(data), -1
-        tokens = np.append(self.one[data], _END)
+        tokens = np.append(self.one[data], self.end)
         after, before = np.append(np.arange(1, n + 1), n), np.arange(-1, n)  # place n lies beside all words
         after[ends - 1] = n
         before[ends] = n

@@ -109,14 +109,15 @@ class Model:
 
 
 def _draw() -> Column:
-    return F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    """Between 0 and 1, by id and text: rows without an id, or of one id, are drawn apart."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
 
 
 def chosen_landmarks(rows: DataFrame, languages: int, landmarks: int) -> list[str]:
     """At most ``landmarks`` texts: the first by hash of each language, then the second of each, and so on."""
     each = -(-landmarks // languages)
     few = rows.where(_draw() < 2 * each / F.col("n"))  # about twice as many as are wanted, in each language
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(_draw(), "doc_id", "text"))
     first = few.withColumn("rank", rank).where(F.col("rank") <= each)
     return [r["text"] for r in first.orderBy("rank", F.xxhash64("lang"), "lang").select("text").limit(landmarks).collect()]
 

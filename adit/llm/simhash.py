@@ -244,10 +244,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     of_fp = rows.groupBy("fp").agg(F.min(first).alias("first"))
     stay = of_fp.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    stay = checkpointed(stay.select(F.col("first.doc_id").alias("staying"), F.col("first.digest").alias("staying_digest")))
-    digest = free_name(docs, "digest_of_text")
+    digest, of_id, of_digest = (free_name(docs, n) for n in ("digest_of_text", "staying", "staying_digest"))
+    stay = checkpointed(stay.select(F.col("first.doc_id").alias(of_id), F.col("first.digest").alias(of_digest)))
     tagged = docs.withColumn(digest, F.sha2(text_of(text_col).cast("binary"), 256))
-    kept = tagged.join(stay, (tagged[digest] == F.col("staying_digest")) & tagged[id_col].eqNullSafe(F.col("staying")), "left_semi")
+    kept = tagged.join(stay, (tagged[digest] == stay[of_digest]) & tagged[id_col].eqNullSafe(stay[of_id]), "left_semi")
     if not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates([id_col, digest])
     return kept.drop(digest)

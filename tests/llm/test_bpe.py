@@ -23,6 +23,13 @@ def test_ids_are_those_of_the_library(text):
     assert CODER.decode(ids) == text.encode()
 
 
+def test_more_ranks_than_two_bytes_can_number():
+    moved = {token: rank if rank < 256 else rank + 2**18 for token, rank in RANKS.items()}
+    coder, texts = bpe.MergeReplay(moved), ["a text of several words, élan", "ab" * 500, ""]
+    for ids, known in zip(coder.encode(texts), CODER.encode(texts), strict=True):
+        assert ids == [rank if rank < 256 else rank + 2**18 for rank in known]
+
+
 def test_words_that_repeat_and_long_words():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab étz\n 'sll09!?🙂漢") for _ in range(rng.randrange(300))) for _ in range(300)]

@@ -133,6 +133,11 @@ def test_one_of_each_component_stays(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()) == [3, 9]
 
 
+def test_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c", 1, "x", "y"), (2, "a b c", 2, "x", "y")], "doc_id long, text string, staying long, staying_digest string, Digest_of_text string")
+    assert [tuple(r) for r in simhash.keep_one_of_each(docs).collect()] == [(1, "a b c", 1, "x", "y")]
+
+
 def test_digest_is_of_the_whole_text(awkward):
     found = {r["id"]: r["digest"] for r in exact_dedup.exact_dedup(awkward).collect()}
     assert found[0] == hashlib.sha256(b"").hexdigest()

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adit.llm import decision_list, language, preference, toxicity
 from adit.llm.common import fold
@@ -101,6 +102,18 @@ def test_language_held_out(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_languages_whose_rows_share_an_id_are_learned(spark, doc_id):
+    turkish = [(doc_id, f"bugün hava çok güzel ve {i} kişi şehirde yürüyor, sonra eve döndüler", "tr") for i in range(3000)]
+    english = [(i, f"the weather is fine today and {i} people walk in the town, then went home", "en") for i in range(3000)]
+    docs = spark.createDataFrame(turkish + english, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ["en", "tr"]
+    assert model.predict(["hava güzel, eve döndüler", "they went home today"])[0] == ["tr", "en"]
+    kept = docs.where((language._draw() < 1500 / 3000) & (F.col("lang") == "tr")).count()
+    assert 1200 < kept < 1800  # the sample is bounded
+
+
 def test_kernel_matches_sets():
     texts = ["the cat", "ein Hund", "", "aaa", "Été à 5 heures"]
     marks = language.Landmarks.of(texts[:4])

@@ -2,28 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK = 3_600_000  # of arrival, in milliseconds: an hour of one sensor is ordered at a time
 
 
-def latest(df: DataFrame, keys: list, version: list) -> DataFrame:
-    """One row per key: the one with the largest version (ties fall to the later columns).
+def _one_of_each(rows: DataFrame, keys: list, order: list, first: bool) -> DataFrame:
+    """Of the rows of each key the first (or last) in ``order``.
 
-    An aggregation with a struct, so it combines map-side and filters on keys reach the scan.
+    Most keys have one row. Keys are counted by a hash aggregation over themselves and the leading
+    column of ``order``, which combines map-side; the few that repeat then mark their rows by a join
+    (a broadcast, while they are few), and only rows of theirs that share the leading value are ranked.
+    Rows whose key does not repeat neither move nor are sorted, unless the join has to shuffle.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    lead = F.min(order[0]) if first else F.max(order[0])
+    several = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), lead.alias("_lead")).where("_n > 1").drop("_n").withColumn("_twice", F.lit(True))
+    marked = rows.join(several, keys, "left")
+    alone = marked.where(F.col("_twice").isNull()).select(*rows.columns)
+    again = marked.where(F.col("_twice") & F.col(order[0]).eqNullSafe(F.col("_lead")))
+    rest = [F.col(c).asc() if first else F.col(c).desc() for c in (order[1:] or order)]
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*rest))
+    return alone.unionByName(again.withColumn("_rank", rank).where("_rank = 1").select(*rows.columns))
+
+
+def latest(df: DataFrame, keys: list, version: list) -> DataFrame:
+    """One row per key: the one with the largest version."""
+    return _one_of_each(df, keys, version, first=False)
 
 
 def first_seen(df: DataFrame, key: str, order: list, columns: list | None = None) -> DataFrame:
-    """One row per key: the first in the order of arrival; with ``columns`` only these (and the key) are shuffled."""
-    rest = [c for c in (df.columns if columns is None else columns) if c != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    return first.select(*df.columns) if columns is None else first
+    """One row per key: the first in the order of arrival; with ``columns`` only these (and the key) are kept."""
+    kept = df.columns if columns is None else [key, *[c for c in columns if c != key]]
+    needed = list(dict.fromkeys([*kept, *order]))
+    return _one_of_each(df.select(*needed), [key], order, first=True).select(*kept)
 
 
 def not_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -31,14 +44,21 @@ def not_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
-def vehicles_dedup(vehicles: DataFrame, *columns: str) -> DataFrame:
-    """The latest version of each event; with ``columns`` only these (and the keys) are shuffled."""
+def vehicles_dedup(vehicles: DataFrame, *columns: str, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """The latest version of each event; with ``columns`` only these (and the keys) are kept.
+
+    All versions of an event entered on one day, by which the table is stored. ``since`` and ``until``
+    (times of entry) therefore keep whole days below the comparison of versions, down to the scan;
+    the exact limits are for the caller to set above it.
+    """
     keys, version = ["tunnel_id", "event_id"], ["inserted_at", "kafka_partition", "kafka_offset"]
-    if not columns:
-        return latest(vehicles, keys, version)
-    rest = [c for c in columns if c not in keys]
-    best = vehicles.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    day = lambda t: F.date_trunc("day", t).cast("timestamp_ntz")
+    if since is not None:
+        vehicles = vehicles.where(F.col("ts_entry") >= day(since))
+    if until is not None:
+        vehicles = vehicles.where(F.col("ts_entry") < day(until) + F.make_dt_interval(F.lit(1)))
+    kept = [*keys, *[c for c in columns if c not in keys]] if columns else vehicles.columns
+    return latest(vehicles.select(*dict.fromkeys([*kept, *version])), keys, version).select(*kept)
 
 
 def sequence_gaps(detections: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adit.operators.alerts import dimension
+from adit.operators.versions import Store
 
 
 def pruned(facts: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -37,6 +38,13 @@ def exchange(spark: SparkSession, kept: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
+def pruned_store(store: Store, part: str, schema: str, profiles: DataFrame, time: str) -> int:
+    """Keep rows of configured tunnels only, in one commit: readers see the table before it or after it."""
+    number, manifest, _ = store.current()
+    kept = pruned(store.read(part, schema, manifest=manifest), profiles)
+    return store.commit({part: kept.withColumn("day", F.date_format(time, "yyyy-MM-dd"))}, whole=True, after=number)
+
+
 def synced(stored: DataFrame, given: DataFrame, keys: list[str]) -> DataFrame:
     """A dimension after loading ``given``: its rows as they are now; rows of others are gone."""
     before = stored.join(given.select(*keys), keys, "left_semi")

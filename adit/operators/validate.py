@@ -171,10 +171,14 @@ def validated(raw: DataFrame, value: str = "value", now_ms: Column | None = None
         (~is_object("_p", "_pt"), "bad_payload", F.lit("payload is not a JSON object")),
         (~F.col("_known") & _kind(schema).isNull(), "bad_payload", F.lit("missing field 'schema'")),
         (~F.col("_known"), "unsupported_schema", F.concat(F.lit("schema "), shown, F.lit(f" (supported: {SCHEMA_VERSION})"))),
-        (F.col("_fields").isNotNull(), "bad_payload", F.col("_fields")),
+        (F.when(F.col("_pt").isNotNull(), ~F.col("_fits")).otherwise(F.col("_fields").isNotNull()), "bad_payload", F.col("_fields")),
         (~F.coalesce(same, F.lit(False)), "payload_mismatch", F.concat(F.lit("payload tunnel_id/position/sensor_id "), slashed(own), F.lit(" != topic "), slashed(due))),
     ]
-    step = F.when(~F.col("_whole"), _first([(fails, F.lit(k)) for k, (fails, _, _) in enumerate(ladder)]))
+    # the ladder in two parts, each a column of its own: small enough to be compiled
+    of_part = lambda low, high: _first([(fails, F.lit(k)) for k, (fails, _, _) in enumerate(ladder) if low <= k < high])
+    df = df.withColumn("_early", F.when(~F.col("_whole"), of_part(0, 10)))
+    df = df.withColumn("_late", F.when(~F.col("_whole") & F.col("_early").isNull(), of_part(10, len(ladder))))
+    step = F.when(F.col("_early").isNotNull(), F.col("_early")).when(F.col("_late").isNotNull(), F.col("_late"))
     df = df.withColumn("_step", step).withColumn("_now", now)
     reason = F.get(F.array(*[F.lit(r) for _, r, _ in ladder]), F.col("_step"))
     detail = _first([(F.col("_step") == k, d) for k, (_, _, d) in enumerate(ladder)])

@@ -6,12 +6,16 @@ looking, ranges end there. Results keep the names a panel shows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adit.functions.scalar import bucket, hhmm, local_time, map_total, millis_between, ratio
-from adit.operators import alerts, rollup
-from adit.operators.dedup import first_seen, vehicles_dedup
+from adit.operators import alerts, rollup, states
+from adit.operators.dedup import vehicles_dedup
+from adit.operators.lineage import shared_folder
+from adit.operators.versions import Conflict, Store
 from adit.plans import Registry
 from adit.sources import binding, domain
 
@@ -46,16 +50,28 @@ def latency(d: DataFrame) -> DataFrame:
     )
 
 
-_ROLLED = ["tunnel_id", "ts_entry", "direction", "classification", "speed_kmh", "length_m"]
 _ALERTED = ("ts_entry", "plate", "classification", "speed_kmh", "direction", "lane", "sensors", "confidence")
 
 
-def minute_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"], _ROLLED), "minute")
+def stored_states(spark: SparkSession, sf_dir: str) -> Store:
+    """The store of minute and hour states of a folder's vehicles, in the shared folder; taken in where
+    it is not yet. It is known by the files (names, sizes, times) that it was made from."""
+    files = sorted(f"{r['path']} {r['length']} {r['modificationTime']}" for r in spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet").select("path", "length", "modificationTime").collect())
+    name = hashlib.sha256("\n".join(files).encode()).hexdigest()
+    store = Store(spark, f"{shared_folder(spark)}/states-{name[:32]}")
+    try:
+        states.take_in(store, binding.vehicles(spark, sf_dir), name)
+    except Conflict:  # taken in by another at the same time
+        pass
+    return store
+
 
+def minute_states(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    return states.read(stored_states(spark, sf_dir), "minute", since, until)
 
-def hour_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.rollup(first_seen(binding.vehicles(spark, sf_dir), "event_id", ["kafka_partition", "kafka_offset"], _ROLLED), "hour")
+
+def hour_states(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    return states.read(stored_states(spark, sf_dir), "hour", since, until)
 
 
 _MS = "date_sub('millisecond', ts, received_ts)"
@@ -112,18 +128,18 @@ def q07(spark, d):
 
 @R.add("Q08_vehicles", f"SELECT count(*) AS vehicles FROM {_MIN} WHERE minute {_RANGE} AND {_IN}")
 def q08(spark, d):
-    return minute_states(spark, d).where(in_range("minute") & shown()).agg(F.sum("vehicles").alias("vehicles"))
+    return minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown()).agg(F.sum("vehicles").alias("vehicles"))
 
 
 @R.add("Q09_heavy_share", f"SELECT count(*) FILTER (classification IN {domain.HEAVY}) / greatest(count(*), 1) AS heavy FROM {_MIN} WHERE minute {_RANGE} AND {_IN}")
 def q09(spark, d):
     heavy = F.coalesce(F.sum(F.when(F.col("classification").isin(*domain.HEAVY), F.col("vehicles"))), F.lit(0))
-    return minute_states(spark, d).where(in_range("minute") & shown()).agg(ratio(heavy, F.sum("vehicles")).alias("heavy"))
+    return minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown()).agg(ratio(heavy, F.sum("vehicles")).alias("heavy"))
 
 
 @R.add("Q10_average_speed", f"SELECT round(avg(speed_kmh), 6) AS avg_speed FROM {_MIN} WHERE minute {_RANGE} AND {_IN}")
 def q10(spark, d):
-    return minute_states(spark, d).where(in_range("minute") & shown()).agg(F.round(rollup.merged_average("speed_avg"), 6).alias("avg_speed"))
+    return minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown()).agg(F.round(rollup.merged_average("speed_avg"), 6).alias("avg_speed"))
 
 
 @R.add("Q11_reporting", f"SELECT count(DISTINCT tunnel_id) AS tunnels FROM traffic WHERE ts BETWEEN TIMESTAMP '{NOW}' - INTERVAL 1 DAY AND TIMESTAMP '{NOW}' AND {_IN}")
@@ -133,13 +149,13 @@ def q11(spark, d):
 
 @R.add("Q12_by_type", f"SELECT date_trunc('hour', minute) AS time, classification, count(*) AS vehicles FROM {_MIN} WHERE minute {_RANGE} AND {_IN} GROUP BY ALL")
 def q12(spark, d):
-    rows = minute_states(spark, d).where(in_range("minute") & shown())
+    rows = minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown())
     return rows.groupBy(bucket("hour", "minute").alias("time"), "classification").agg(F.sum("vehicles").alias("vehicles"))
 
 
 @R.add("Q13_speed_by_direction", f"SELECT date_trunc('hour', minute) AS time, direction, round(avg(speed_kmh), 6) AS speed FROM {_MIN} WHERE minute {_RANGE} AND {_IN} GROUP BY ALL")
 def q13(spark, d):
-    rows = minute_states(spark, d).where(in_range("minute") & shown())
+    rows = minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown())
     return rows.groupBy(bucket("hour", "minute").alias("time"), "direction").agg(F.round(rollup.merged_average("speed_avg"), 6).alias("speed"))
 
 
@@ -153,7 +169,7 @@ def _any(kinds) -> str:
 )
 def q14(spark, d):
     of = lambda kinds: F.coalesce(F.sum(F.when(F.col("classification").isin(*kinds), F.col("vehicles"))), F.lit(0))
-    rows = minute_states(spark, d).where(in_range("minute") & shown())
+    rows = minute_states(spark, d, SINCE[:10], NOW[:10]).where(in_range("minute") & shown())
     return rows.groupBy("tunnel_id").agg(
         of(["OTOMOBIL"]).alias("otomobil"), of(domain.LIGHT).alias("hafif"), of(domain.HEAVY).alias("agir"), of(domain.OTHER).alias("diger"), of([domain.UNKNOWN]).alias("bilinmeyen"),
         F.sum("vehicles").alias("total"), F.round(rollup.merged_average("speed_avg"), 1).alias("avg_speed_kmh"), F.round(F.max("speed_max"), 1).alias("max_speed_kmh"),
@@ -168,7 +184,7 @@ def q15(spark, d):
 
 @R.add("Q16_speed_distribution", f"SELECT date_trunc('hour', ts_entry) AS time, round(quantile_cont(speed_kmh, 0.5), 6) AS p50, round(quantile_cont(speed_kmh, 0.85), 6) AS p85, round(quantile_cont(speed_kmh, 0.95), 6) AS p95 FROM dedup WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q16(spark, d):
-    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "speed_kmh").where(in_range("ts_entry") & shown())
+    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "speed_kmh", **_shown_days()).where(in_range("ts_entry") & shown())
     return rows.groupBy(bucket("hour", "ts_entry").alias("time")).agg(*[F.round(F.percentile("speed_kmh", q), 6).alias(f"p{round(100 * q)}") for q in (0.5, 0.85, 0.95)])
 
 
@@ -180,7 +196,7 @@ def q16_raw(spark, d):
 
 @R.add("Q17_consensus_quality", f"SELECT date_trunc('hour', ts_entry) AS time, round(avg(agreement), 6) AS agreement, round(avg(confidence), 6) AS confidence, count(*) FILTER (sensors < 3) / count(*) AS incomplete_share FROM dedup WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q17(spark, d):
-    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "agreement", "confidence", "sensors").where(in_range("ts_entry") & shown())
+    rows = vehicles_dedup(binding.vehicles(spark, d), "ts_entry", "agreement", "confidence", "sensors", **_shown_days()).where(in_range("ts_entry") & shown())
     return rows.groupBy(bucket("hour", "ts_entry").alias("time")).agg(F.round(F.avg("agreement"), 6).alias("agreement"), F.round(F.avg("confidence"), 6).alias("confidence"), (F.count_if(F.col("sensors") < 3) / F.count(F.lit(1))).alias("incomplete_share"))
 
 
@@ -243,50 +259,60 @@ _HM = "lpad((from_minute // 60)::VARCHAR, 2, '0') || ':' || lpad((from_minute %
 _RESTRICTED = f"(SELECT ts_entry, {_LOCAL} AS local_time, ({_LOCAL})::DATE AS local_day, tunnel_id, name AS tunnel_name, city, plate, classification AS vehicle_type, round(speed_kmh, 1) AS speed_kmh, direction, lane, sensors, confidence, {_HM} AS banned_window, event_id FROM dedup JOIN profiles USING (tunnel_id) JOIN rules USING (tunnel_id) WHERE classification = vehicle_type AND sensors >= 2 AND confidence >= 0.7 AND CASE WHEN from_minute < to_minute THEN {_M} >= from_minute AND {_M} < to_minute ELSE {_M} >= from_minute OR {_M} < to_minute END)"
 
 
-def speeding(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.speeding(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED), domain.profiles(spark))
+def speeding(spark: SparkSession, d: str, **days: Column) -> DataFrame:
+    return alerts.speeding(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED, **days), domain.profiles(spark))
+
+
+def restricted(spark: SparkSession, d: str, **days: Column) -> DataFrame:
+    return alerts.restricted(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED, **days), domain.profiles(spark), domain.rules(spark))
+
+
+def _shown_days() -> dict[str, Column]:
+    return {"since": moment(SINCE), "until": moment(NOW)}
 
 
-def restricted(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.restricted(vehicles_dedup(binding.vehicles(spark, d), *_ALERTED), domain.profiles(spark), domain.rules(spark))
+def _today() -> dict[str, Column]:
+    """Days, as stored, that the local day of NOW touches."""
+    day = F.make_dt_interval(F.lit(1))
+    return {"since": moment(NOW) - day, "until": moment(NOW) + day}
 
 
 @R.add("Q25_speeding", f"SELECT count(*) AS speeding FROM {_SPEEDING} WHERE ts_entry {_RANGE} AND {_IN}")
 def q25(spark, d):
-    return speeding(spark, d).where(in_range("ts_entry") & shown()).agg(F.count(F.lit(1)).alias("speeding"))
+    return speeding(spark, d, **_shown_days()).where(in_range("ts_entry") & shown()).agg(F.count(F.lit(1)).alias("speeding"))
 
 
 @R.add("Q26_restricted", f"SELECT count(*) AS restricted FROM {_RESTRICTED} WHERE ts_entry {_RANGE} AND {_IN}")
 def q26(spark, d):
-    return restricted(spark, d).where(in_range("ts_entry") & shown()).agg(F.count(F.lit(1)).alias("restricted"))
+    return restricted(spark, d, **_shown_days()).where(in_range("ts_entry") & shown()).agg(F.count(F.lit(1)).alias("restricted"))
 
 
 @R.add("Q27_fastest", f"SELECT max(speed_kmh) AS top_speed FROM {_SPEEDING} WHERE ts_entry {_RANGE} AND {_IN}")
 def q27(spark, d):
-    return speeding(spark, d).where(in_range("ts_entry") & shown()).agg(F.max("speed_kmh").alias("top_speed"))
+    return speeding(spark, d, **_shown_days()).where(in_range("ts_entry") & shown()).agg(F.max("speed_kmh").alias("top_speed"))
 
 
 @R.add("Q28_tunnels_with_alert", f"SELECT count(DISTINCT tunnel_id) AS tunnels FROM (SELECT tunnel_id, ts_entry FROM {_SPEEDING} UNION ALL SELECT tunnel_id, ts_entry FROM {_RESTRICTED}) WHERE ts_entry {_RANGE} AND {_IN}")
 def q28(spark, d):
-    both = speeding(spark, d).select("tunnel_id", "ts_entry").unionByName(restricted(spark, d).select("tunnel_id", "ts_entry"))
+    both = speeding(spark, d, **_shown_days()).select("tunnel_id", "ts_entry").unionByName(restricted(spark, d, **_shown_days()).select("tunnel_id", "ts_entry"))
     return both.where(in_range("ts_entry") & shown()).agg(F.countDistinct("tunnel_id").alias("tunnels"))
 
 
 @R.add("Q29_speeding_list", f"SELECT local_time::VARCHAR AS time, tunnel_name AS tunnel, city, plate, vehicle_type AS type, round(speed_kmh, 1) AS speed_kmh, speed_limit_kmh AS limit_kmh, over_by_kmh, over_by_pct, event_id FROM {_SPEEDING} WHERE ts_entry {_RANGE} AND {_IN} ORDER BY local_time DESC, event_id LIMIT 1000")
 def q29(spark, d):
-    rows = speeding(spark, d).where(in_range("ts_entry") & shown()).orderBy(F.desc("local_time"), "event_id").limit(1000)
+    rows = speeding(spark, d, **_shown_days()).where(in_range("ts_entry") & shown()).orderBy(F.desc("local_time"), "event_id").limit(1000)
     return rows.select(F.col("local_time").cast("string").alias("time"), F.col("tunnel_name").alias("tunnel"), "city", "plate", F.col("vehicle_type").alias("type"), F.round("speed_kmh", 1).alias("speed_kmh"), F.col("speed_limit_kmh").alias("limit_kmh"), "over_by_kmh", "over_by_pct", "event_id")
 
 
 @R.add("Q30_restricted_list", f"SELECT local_time::VARCHAR AS time, tunnel_name AS tunnel, city, plate, vehicle_type AS type, banned_window, speed_kmh, direction, lane, event_id FROM {_RESTRICTED} WHERE ts_entry {_RANGE} AND {_IN} ORDER BY local_time DESC, event_id, banned_window LIMIT 1000")
 def q30(spark, d):
-    rows = restricted(spark, d).where(in_range("ts_entry") & shown()).orderBy(F.desc("local_time"), "event_id", "banned_window").limit(1000)
+    rows = restricted(spark, d, **_shown_days()).where(in_range("ts_entry") & shown()).orderBy(F.desc("local_time"), "event_id", "banned_window").limit(1000)
     return rows.select(F.col("local_time").cast("string").alias("time"), F.col("tunnel_name").alias("tunnel"), "city", "plate", F.col("vehicle_type").alias("type"), "banned_window", "speed_kmh", "direction", "lane", "event_id")
 
 
 @R.add("Q31_alerts_over_time", f"SELECT date_trunc('day', ts_entry) AS time, kind, count(*) AS alerts FROM (SELECT ts_entry, tunnel_id, 'speeding' AS kind FROM {_SPEEDING} UNION ALL SELECT ts_entry, tunnel_id, 'restricted' FROM {_RESTRICTED}) WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q31(spark, d):
-    kinds = {"speeding": speeding(spark, d), "restricted": restricted(spark, d)}
+    kinds = {"speeding": speeding(spark, d, **_shown_days()), "restricted": restricted(spark, d, **_shown_days())}
     parts = [a.where(in_range("ts_entry") & shown()).groupBy(bucket("day", "ts_entry").alias("time")).agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("alerts")) for k, a in kinds.items()]
     return parts[0].unionByName(parts[1])
 
@@ -294,7 +320,7 @@ def q31(spark, d):
 @R.add("Q32_alerts_per_tunnel", f"SELECT tunnel_name AS tunnel, count(*) FILTER (kind = 's') AS speeding, count(*) FILTER (kind = 'r') AS restricted FROM (SELECT ts_entry, tunnel_id, tunnel_name, 's' AS kind FROM {_SPEEDING} UNION ALL SELECT ts_entry, tunnel_id, tunnel_name, 'r' FROM {_RESTRICTED}) WHERE ts_entry {_RANGE} AND {_IN} GROUP BY ALL")
 def q32(spark, d):
     one = lambda a, s, r: a.where(in_range("ts_entry") & shown()).groupBy(F.col("tunnel_name").alias("tunnel")).agg(F.sum(F.lit(s)).alias("speeding"), F.sum(F.lit(r)).alias("restricted"))
-    both = one(speeding(spark, d), 1, 0).unionByName(one(restricted(spark, d), 0, 1))
+    both = one(speeding(spark, d, **_shown_days()), 1, 0).unionByName(one(restricted(spark, d, **_shown_days()), 0, 1))
     return both.groupBy("tunnel").agg(F.sum("speeding").alias("speeding"), F.sum("restricted").alias("restricted")).orderBy(F.desc("restricted"), F.desc("speeding"), "tunnel")
 
 
@@ -336,7 +362,8 @@ def q36(spark, d):
 
 
 def _weighted() -> Column:
-    return F.round(ratio(F.sum(F.col("vehicles") * F.col("speed_avg_kmh")), F.sum("vehicles")), 4)
+    # what sums in some order leave behind the ninth digit must not decide a tie
+    return F.round(F.round(ratio(F.sum(F.col("vehicles") * F.col("speed_avg_kmh")), F.sum("vehicles")), 9), 4)
 
 
 @R.add("Q37_speed_per_hour", f"SELECT local_hour AS time, tunnel_id, round(sum(vehicles * speed_avg_kmh) / greatest(sum(vehicles), 1), 4) AS speed FROM {_HOURLY} WHERE {_IN} GROUP BY ALL")
@@ -361,12 +388,12 @@ def q40(spark, d):
 
 @R.add("Q41_speeding_today", f"SELECT count(*) AS value, count(*) > 0 AS firing FROM {_SPEEDING} WHERE local_day = DATE '2024-01-20'")
 def q41(spark, d):
-    return speeding(spark, d).where(F.col("local_day") == F.to_date(moment(NOW))).agg(F.count(F.lit(1)).alias("value"), (F.count(F.lit(1)) > 0).alias("firing"))
+    return speeding(spark, d, **_today()).where(F.col("local_day") == F.to_date(moment(NOW))).agg(F.count(F.lit(1)).alias("value"), (F.count(F.lit(1)) > 0).alias("firing"))
 
 
 @R.add("Q42_restricted_today", f"SELECT count(*) AS value, count(*) > 0 AS firing FROM {_RESTRICTED} WHERE local_day = DATE '2024-01-20'")
 def q42(spark, d):
-    return restricted(spark, d).where(F.col("local_day") == F.to_date(moment(NOW))).agg(F.count(F.lit(1)).alias("value"), (F.count(F.lit(1)) > 0).alias("firing"))
+    return restricted(spark, d, **_today()).where(F.col("local_day") == F.to_date(moment(NOW))).agg(F.count(F.lit(1)).alias("value"), (F.count(F.lit(1)) > 0).alias("firing"))
 
 
 @R.add("Q43_prune_counts", "SELECT count(*) FILTER (tunnel_id IN (SELECT tunnel_id FROM profiles)) AS keep, count(*) FILTER (tunnel_id NOT IN (SELECT tunnel_id FROM profiles)) AS purge FROM vehicles")

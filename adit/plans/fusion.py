@@ -108,7 +108,9 @@ def enveloped(spark, d, *keep):
     )
     topic = F.concat(F.lit("tunnels/"), tunnel, F.lit("/sensors/"), F.when(i % 10 == 4, "side").otherwise("start"), F.lit("/detections"))
     e = F.to_json(F.struct(topic.alias("topicName"), F.base64(payload.cast("binary")).alias("payload"), F.lit(1_700_000_000_001).alias("ts"), F.when(i % 10 == 5, "other").otherwise(tunnel).alias("clientCertCn")))
-    return binding.events(spark, d).select("event_id", *keep, F.regexp_replace(e, r"\\r\\n", "").cast("binary").alias("value"))
+    # few and narrow columns are dealt out before the heavy work: a small table is one split
+    rows = binding.events(spark, d).select("event_id", "user_id").repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return rows.select("event_id", *keep, F.regexp_replace(e, r"\\r\\n", "").cast("binary").alias("value"))
 
 
 _REASON = "CASE event_id % 10 WHEN 1 THEN 'unsupported_schema' WHEN 2 THEN 'payload_mismatch' WHEN 3 THEN 'bad_payload' WHEN 4 THEN 'bad_topic' WHEN 5 THEN 'identity_mismatch' END"
@@ -119,15 +121,13 @@ def val_first_reason(spark, d):
     return validated(enveloped(spark, d)).select("event_id", "reason", "kind")
 
 
-@R.add("val_explain", "SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'schema 1 (supported: 2)' WHEN 3 THEN 'field ''classification'' must be one of BILINMEYEN|CEKICI_YARI_ROMORK|HAFIF_TICARI|KAMYON|MINIBUS|MOTOSIKLET|OTOBUS|OTOMOBIL|OZEL_AMACLI_TASIT|TRAKTOR' WHEN 4 THEN 'topic is not tunnels/{tunnel_id}/sensors/{start|middle|end}/{detections|health}' END AS detail FROM events WHERE event_id % 10 IN (0, 1, 3, 4)")
-def val_explain(spark, d):
-    return validated(enveloped(spark, d)).where("event_id % 10 IN (0, 1, 3, 4)").select("event_id", "detail")
+_TUNNEL = "(['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1]"
 
 
-_TUNNEL = "(['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1]"
+_DETAIL = f"CASE event_id % 10 WHEN 1 THEN 'schema 1 (supported: 2)' WHEN 2 THEN 'payload tunnel_id/position/sensor_id ''elsewhere''/''start''/''' || {_TUNNEL} || '-start'' != topic ''' || {_TUNNEL} || '''/''start''/''' || {_TUNNEL} || '-start''' WHEN 3 THEN 'field ''classification'' must be one of BILINMEYEN|CEKICI_YARI_ROMORK|HAFIF_TICARI|KAMYON|MINIBUS|MOTOSIKLET|OTOBUS|OTOMOBIL|OZEL_AMACLI_TASIT|TRAKTOR' WHEN 4 THEN 'topic is not tunnels/{{tunnel_id}}/sensors/{{start|middle|end}}/{{detections|health}}' WHEN 5 THEN 'clientCertCn ''other'' != topic tunnel_id ''' || {_TUNNEL} || '''' END"
 
 
-@R.add("val_explain_all", f"SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'schema 1 (supported: 2)' WHEN 2 THEN 'payload tunnel_id/position/sensor_id ''elsewhere''/''start''/''' || {_TUNNEL} || '-start'' != topic ''' || {_TUNNEL} || '''/''start''/''' || {_TUNNEL} || '-start''' WHEN 3 THEN 'field ''classification'' must be one of BILINMEYEN|CEKICI_YARI_ROMORK|HAFIF_TICARI|KAMYON|MINIBUS|MOTOSIKLET|OTOBUS|OTOMOBIL|OZEL_AMACLI_TASIT|TRAKTOR' WHEN 4 THEN 'topic is not tunnels/{{tunnel_id}}/sensors/{{start|middle|end}}/{{detections|health}}' WHEN 5 THEN 'clientCertCn ''other'' != topic tunnel_id ''' || {_TUNNEL} || '''' END AS detail FROM events")
+@R.add("val_explain_all", f"SELECT event_id, {_DETAIL} AS detail FROM events")
 def val_explain_all(spark, d):
     # of every event, those built from values too
     return validated(enveloped(spark, d)).select("event_id", "detail")
@@ -172,6 +172,16 @@ def val_reasons_all(spark, d):
     return checked.select("event_id", "reason", "kind", F.when((F.col("event_id") % 20).isin(6, 7, 8, 9, 16), F.col("detail")).alias("detail"))
 
 
+@R.add(
+    "val_explain",
+    f"""SELECT event_id, CASE WHEN event_id % 20 = 6 THEN 'record value is null' WHEN event_id % 20 = 16 THEN 'envelope is not valid UTF-8 JSON' WHEN event_id % 20 = 9 THEN 'envelope is not a JSON object'
+  WHEN event_id % 20 = 8 THEN 'missing field ''degraded''' WHEN event_id % 20 = 7 THEN 'field ''status'' must be one of degraded|ok|silent' WHEN event_id % 20 IN (17, 18) THEN NULL ELSE {_DETAIL} END AS detail FROM events""",
+)
+def val_explain(spark, d):
+    # of every event of either topic
+    return validated(enveloped_all(spark, d)).select("event_id", "detail")
+
+
 @R.add(
     "val_reject_late",
     f"SELECT event_id, CASE WHEN event_id % 20 IN (6, 9, 16) THEN NULL ELSE {_TUNNEL} END AS key, 'too_large' AS reason, CASE WHEN event_id % 20 IN (6, 9, 16) THEN NULL WHEN event_id % 20 IN (7, 8, 17, 18) THEN 'tunnels/' || {_TUNNEL} || '/sensors/end/health' WHEN event_id % 10 = 4 THEN 'tunnels/' || {_TUNNEL} || '/sensors/side/detections' ELSE 'tunnels/' || {_TUNNEL} || '/sensors/start/detections' END AS topic FROM events",
@@ -232,3 +242,59 @@ def parse_log_remap(spark, d):
     rows = raw.withColumn("log", F.coalesce(F.try_parse_json("message"), F.col("message").cast("variant"))).drop("message", "file").withColumn("kubernetes", F.col("kubernetes").dropFields("pod_uid", "container_id"))
     plain = F.schema_of_variant("log") == "STRING"
     return rows.select("event_id", F.try_variant_get("log", "$.level", "string").alias("level"), plain.alias("plain"), F.when(plain, F.try_variant_get("log", "$", "string")).alias("line"), F.col("kubernetes.pod").alias("pod"))
+
+
+def varied(spark, d):
+    """What three sensors 500 m apart see of each event's vehicle, with its own speed and length; a third of the plates is unread."""
+    i, k = F.col("event_id"), F.col("index")
+    tunnel = F.element_at(F.array(*map(F.lit, binding.TUNNELS)), (F.col("user_id") % 6 + 1).cast("int"))
+    ms = F.floor(F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts")) / 1000)
+    e = binding.events(spark, d).select("event_id", tunnel.alias("tunnel_id"), ms.alias("ms"), F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("index"))
+    return e.select(
+        "tunnel_id", F.lit("start_to_end").alias("direction"), (i % 3 + 1).cast("int").alias("lane"), "index", ((F.col("ms") + k * 25_000) / 1000).alias("t"),
+        (F.lit(20.0) + i % 7 * F.lit(0.125) + k * F.lit(0.0625)).alias("speed"), (F.lit(9.0) + i % 5 * F.lit(0.25) + k * F.lit(0.125)).alias("length_m"), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("P"), i.cast("string"))).alias("plate"),
+    )
+
+
+_VARIED = """e AS (SELECT event_id, (['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1] AS tunnel_id, epoch_us(ts) // 1000 AS ms, unnest([0, 1, 2]) AS k FROM events),
+ s AS (SELECT tunnel_id, event_id % 3 AS lane, k, (ms + k * 25000) / 1000.0::DOUBLE AS t, 20::DOUBLE + event_id % 7 * 0.125::DOUBLE + k * 0.0625::DOUBLE AS speed, 9::DOUBLE + event_id % 5 * 0.25::DOUBLE + k * 0.125::DOUBLE AS length_m, CASE WHEN event_id % 3 = 0 THEN '' ELSE 'P' || event_id END AS plate FROM e),
+ p AS (SELECT a.tunnel_id, (b.t - a.t) * ((a.speed + b.speed) / 2) AS half, (a.speed + b.speed) / 2 AS v, a.speed - b.speed AS ds, a.length_m - b.length_m AS dl, b.plate <> '' AND a.plate = b.plate AS same
+   FROM s a JOIN s b ON a.tunnel_id = b.tunnel_id AND a.lane = b.lane AND b.k = a.k + 1 AND b.t > a.t AND b.t <= a.t + 2250 WHERE a.plate = '' OR b.plate = '' OR a.plate = b.plate),
+ w AS (SELECT tunnel_id, half, CASE WHEN same THEN 1 ELSE exp(-(pow(ds / (0.06::DOUBLE * v), 2) + pow(dl / 1.5::DOUBLE, 2)) / 2) END AS weight FROM p WHERE half BETWEEN 50 AND 12500),
+ h AS (SELECT tunnel_id, floor(ln(half) / ln(1.01::DOUBLE))::INT AS bin, sum(weight) AS weight, sum(weight * half) AS mass FROM w WHERE weight >= 0.01 GROUP BY ALL)"""
+
+
+@R.add("st_spacing_votes", f"WITH {_VARIED} SELECT tunnel_id, bin, round(weight, 4) AS weight, round(mass / weight, 3) AS mean FROM h")
+def st_spacing_votes(spark, d):
+    votes = fusion.spacing_votes(varied(spark, d))
+    return votes.select("tunnel_id", "bin", F.round("weight", 4).alias("weight"), F.round(F.col("mass") / F.col("weight"), 3).alias("mean"))
+
+
+@R.add(
+    "st_spacing_peaks",
+    f"""WITH {_VARIED}, n AS (SELECT a.tunnel_id, a.bin, sum(b.weight) AS height, sum(b.mass) AS mass FROM h a JOIN h b ON a.tunnel_id = b.tunnel_id AND b.bin BETWEEN a.bin - 3 AND a.bin + 3 GROUP BY ALL),
+ t AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY tunnel_id ORDER BY height DESC, bin) = 1),
+ r AS (SELECT t.tunnel_id, t.height, t.mass, max(CASE WHEN abs(n.bin - t.bin) > 9 THEN n.height END) AS rival FROM t JOIN n USING (tunnel_id) GROUP BY ALL)
+ SELECT tunnel_id, round(mass / height, 3) AS half_m FROM r WHERE height >= 8 AND height >= 2.5 * coalesce(rival, 0)""",
+)
+def st_spacing_peaks(spark, d):
+    return fusion.spacing_peaks(checkpointed(fusion.spacing_votes(varied(spark, d)))).select("tunnel_id", F.round("half_m", 3).alias("half_m"))
+
+
+@R.add(
+    "st_traffic_report",
+    f"""WITH e AS (SELECT {_TUNNEL} AS tunnel_id, epoch_us(ts) // 60000000 * 60 AS "window", CASE WHEN event_id % 2 = 0 THEN 'start_to_end' ELSE 'end_to_start' END || '/' || (['MOTOSIKLET','OTOMOBIL','HAFIF_TICARI'])[event_id % 3 + 1] AS kind FROM events),
+ c AS (SELECT "window", tunnel_id, kind, count(*) AS n FROM e GROUP BY ALL), r AS (SELECT "window", tunnel_id, sum(n)::BIGINT AS vehicles, string_agg(kind || '=' || n, ',' ORDER BY kind) AS counts FROM c GROUP BY ALL),
+ a AS (SELECT unnest(range((SELECT min("window") FROM e), (SELECT max("window") FROM e) + 60, 60)) AS "window"), t AS (SELECT unnest(['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005','IDLE']) AS tunnel_id)
+ SELECT "window", tunnel_id, coalesce(vehicles, 0) AS vehicles, coalesce(counts, '') AS counts FROM a CROSS JOIN t LEFT JOIN r USING ("window", tunnel_id)""",
+)
+def st_traffic_report(spark, d):
+    # every tunnel in every minute, one that never reports too
+    i = F.col("event_id")
+    e = binding.events(spark, d).select(
+        F.element_at(F.array(*map(F.lit, binding.TUNNELS)), (F.col("user_id") % 6 + 1).cast("int")).alias("tunnel_id"), F.floor(F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts")) / 1000).alias("ts_entry"),
+        F.when(i % 2 == 0, "start_to_end").otherwise("end_to_start").alias("direction"), F.element_at(F.array(*map(F.lit, domain.CLASSES)), (i % 3 + 1).cast("int")).alias("classification"), F.lit(60.0).alias("speed_kmh"), F.lit(True).alias("learned"),
+    )
+    tunnels = spark.createDataFrame([(t,) for t in (*binding.TUNNELS, "IDLE")], "tunnel_id string")
+    entries = F.transform(F.array_sort(F.map_entries("counts")), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string")))
+    return fusion.traffic_report(e, 60, tunnels).select("window", "tunnel_id", "vehicles", F.array_join(entries, ",").alias("counts"))

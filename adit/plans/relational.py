@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adit.functions.scalar import bucket, hhmm, in_window, local_time, map_total, millis_between, minute_of_day, plate_body, ratio, strict_base64
-from adit.operators import dedup, pairing, rollup
+from adit.operators import counters, dedup, pairing, quantiles, rollup
 from adit.operators.alerts import dimension
 from adit.plans import Registry
 from adit.plans.dashboards import hour_states, minute_states, speeding
@@ -74,10 +74,12 @@ def proj_any_of_enum(spark, d):
     return binding.detections(spark, d).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("proj_reject_record", "SELECT reason, tunnel_id AS key, substring(html, 1, 4096) AS envelope FROM rejected JOIN pages ON record % 250 = page_id")
+@R.add("proj_reject_record", "SELECT reason, tunnel_id AS key, substring(html, 1, 4096) AS envelope FROM rejected JOIN pages ON record % (SELECT max(page_id) + 1 FROM pages) = page_id")
 def proj_reject_record(spark, d):
-    pages = read(spark, d, "pages").select(F.col("page_id"), "html")
-    return binding.rejected(spark, d).join(pages, F.col("record") % 250 == F.col("page_id")).select("reason", F.col("tunnel_id").alias("key"), F.substring("html", 1, 4096).alias("envelope"))
+    pages = read(spark, d, "pages").select("page_id", "html")
+    count = pages.agg((F.max("page_id") + 1).alias("pages"))  # one row
+    rejected = binding.rejected(spark, d).crossJoin(F.broadcast(count)).withColumn("page_id", F.col("record") % F.col("pages"))
+    return rejected.join(pages, "page_id").select("reason", F.col("tunnel_id").alias("key"), F.substring("html", 1, 4096).alias("envelope"))
 
 
 @R.add("pred_in_list", "SELECT count(*) AS n FROM vehicles WHERE tunnel_id IN ('TR-BOLU', 'TR-OVIT')")
@@ -118,6 +120,13 @@ def trace_ratio_sampler(spark, d):
     return events(spark, d).where(low < (1 << 60) // 10 + 1).select("event_id")
 
 
+@R.add("trace_ratio_sampler_64", "SELECT event_id FROM events WHERE ('0x' || substr(md5(event_id::VARCHAR), 17, 16))::UBIGINT < 1844674407370955162")
+def trace_ratio_sampler_64(spark, d):
+    """A tenth by all 64 low bits of a trace id, as a number without sign."""
+    low = F.conv(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 17, 16), 16, 10).cast("decimal(20,0)")
+    return events(spark, d).where(low < F.lit(str((1 << 64) // 10 + 1)).cast("decimal(20,0)")).select("event_id")
+
+
 @R.add("trace_passthrough", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'tp' || event_id END AS traceparent FROM events")
 def trace_passthrough(spark, d):
     header = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
@@ -239,12 +248,12 @@ def join_map_lookup(spark, d):
     return v.join(events(spark, d).select(i.alias("member"), "event_type"), "member").select("event_id", "member", "event_type")
 
 
-@R.add("join_by_field_outer", "SELECT coalesce(a.user_id, b.user_id) AS pod, clicks::DOUBLE AS clicks, errors::DOUBLE AS errors FROM (SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' AND user_id % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' AND user_id % 3 = 0 GROUP BY 1) b USING (user_id)")
+@R.add("join_by_field_outer", "SELECT coalesce(a.user_id, b.user_id) AS pod, coalesce(a.day, b.day)::VARCHAR AS day, clicks::DOUBLE AS clicks, errors::DOUBLE AS errors FROM (SELECT user_id, ts::DATE AS day, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY ALL) a FULL JOIN (SELECT user_id, ts::DATE AS day, count(*) AS errors FROM events WHERE event_type = 'error' GROUP BY ALL) b USING (user_id, day)")
 def join_by_field_outer(spark, d):
-    e = events(spark, d)
-    a = e.where("event_type = 'click' AND user_id % 2 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).cast("double").alias("clicks"))
-    b = e.where("event_type = 'error' AND user_id % 3 = 0").groupBy(F.col("user_id").alias("pod")).agg(F.count(F.lit(1)).cast("double").alias("errors"))
-    return a.join(b, "pod", "full_outer")
+    # of all users by day, where most have one of the two only
+    e = events(spark, d).select(F.col("user_id").alias("pod"), F.to_date("ts").cast("string").alias("day"), "event_type")
+    one = lambda kind, name: e.where(F.col("event_type") == kind).groupBy("pod", "day").agg(F.count(F.lit(1)).cast("double").alias(name))
+    return one("click", "clicks").join(one("error", "errors"), ["pod", "day"], "full_outer")
 
 
 @R.add("join_by_field_outer_all", "SELECT coalesce(a.user_id, b.user_id) AS pod, clicks::DOUBLE AS clicks, errors::DOUBLE AS errors FROM (SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' GROUP BY 1) b USING (user_id)")
@@ -333,6 +342,45 @@ def agg_quantile(spark, d):
     return events(spark, d).groupBy("event_type").agg(*[F.round(F.percentile("value", q), 6).alias(f"p{round(100 * q)}") for q in rollup.QUANTILES])
 
 
+@R.add("agg_quantile_kll", "SELECT event_type, count(value) AS n, true AS p50_near, true AS p85_near, true AS p95_near FROM events GROUP BY 1")
+def agg_quantile_kll(spark, d):
+    """Sketches of two parts, merged; each answer lies between the exact values at its rank less and plus the error."""
+    e = events(spark, d)
+    parts = quantiles.sketches(e.withColumn("part", F.col("event_id") % 2), ["event_type", "part"], "value")
+    found = quantiles.quantiles_of(quantiles.merged(parts, ["event_type"]), ["event_type"], rollup.QUANTILES)
+    error = 2 * quantiles.rank_error()
+    exact = e.join(F.broadcast(found.select("event_type", "p50", "p85", "p95")), "event_type").groupBy("event_type").agg(
+        F.count("value").alias("n"), *[F.avg((F.col("value") < F.col(p)).cast("int")).alias(f"{p}_low") for p in ("p50", "p85", "p95")], *[F.avg((F.col("value") <= F.col(p)).cast("int")).alias(f"{p}_high") for p in ("p50", "p85", "p95")]
+    )
+    near = lambda p, q: ((F.col(f"{p}_low") <= q + error) & (F.col(f"{p}_high") >= q - error)).alias(f"{p}_near")
+    return exact.select("event_type", "n", near("p50", 0.5), near("p85", 0.85), near("p95", 0.95))
+
+
+@R.add(
+    "agg_totals_rate",
+    """WITH s AS (SELECT *, lag(value) OVER w AS last, lag(ts) OVER w AS since FROM metrics WINDOW w AS (PARTITION BY job, pod ORDER BY ts)),
+ r AS (SELECT job, ts, CASE WHEN value >= last THEN value - last ELSE value END AS rise, date_sub('second', since, ts) AS seconds FROM s WHERE last IS NOT NULL)
+ SELECT job, ts, sum(rise) AS total, round(sum(rise / seconds), 9) AS rate FROM r GROUP BY 1, 2""",
+)
+def agg_totals_rate(spark, d):
+    # each worker's counters against its last snapshot, restarts as resets, added up over workers
+    rises = counters.increases(binding.metrics(spark, d), ["job", "pod"], "ts", "value")
+    return counters.total_rate(rises, ["job", "ts"]).select("job", "ts", "total", F.round("rate", 9).alias("rate"))
+
+
+@R.add(
+    "fn_shard",
+    """WITH crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS of_byte FROM range(256) r(i)),
+ k AS (SELECT DISTINCT user_id, hex(encode('tunnel-' || user_id)) AS h, (SELECT of_byte FROM crc) AS of_byte FROM events),
+ c AS (SELECT user_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)), lambda c, x: xor(c >> 8, of_byte[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM k)
+ SELECT crc % 16 AS shard, count(*) AS tunnels FROM c GROUP BY 1""",
+)
+def fn_shard(spark, d):
+    """Which of 16 workers owns a key: crc32 of the key, modulo their number."""
+    keys = events(spark, d).select("user_id").distinct()
+    return keys.groupBy((F.crc32(F.concat(F.lit("tunnel-"), F.col("user_id").cast("string")).cast("binary")) % 16).alias("shard")).agg(F.count(F.lit(1)).alias("tunnels"))
+
+
 _G = rollup.gamma(0.01)
 
 
@@ -382,10 +430,12 @@ def agg_map_sum(spark, d):
     return binding.traffic(spark, d).groupBy("tunnel_id").agg(F.sum(map_total(F.col("start_to_end")) + map_total(F.col("end_to_start"))).alias("total"))
 
 
-@R.add("agg_map_get", "SELECT tunnel_id, sum(CASE WHEN has_start AND c1 = 'OTOMOBIL' THEN k1 ELSE 0 END)::BIGINT AS first_counts FROM traffic GROUP BY 1")
+@R.add("agg_map_get", "SELECT (['TR-AVRASYA','TR-BOLU','TR-ZIGANA','TR-OVIT','TR-ILGAZ','T000005'])[user_id % 6 + 1] AS tunnel_id, sum(CASE WHEN event_id % 2 > 0 THEN 0 WHEN event_id % 10 = 0 THEN event_id % 3 WHEN event_id % 10 = 8 THEN event_id % 4 + 1 ELSE 0 END)::BIGINT AS cars, sum(CASE WHEN event_id % 10 = 0 THEN event_id % 3 ELSE 0 END)::BIGINT AS back FROM events GROUP BY 1")
 def agg_map_get(spark, d):
-    first = F.when((F.get(F.map_keys("start_to_end"), F.lit(0)) == "OTOMOBIL"), F.try_element_at("start_to_end", F.lit("OTOMOBIL"))).otherwise(0)
-    return binding.traffic(spark, d).groupBy("tunnel_id").agg(F.sum(F.coalesce(first, F.lit(0))).alias("first_counts"))
+    # a class looked up wherever it stands in the map: in both directions, and none where it is not there
+    got = lambda side, kind: F.coalesce(F.try_element_at(side, F.lit(kind)), F.lit(0))
+    both = got("start_to_end", "OTOMOBIL") + got("start_to_end", "OZEL_AMACLI_TASIT")
+    return binding.traffic(spark, d).groupBy("tunnel_id").agg(F.sum(both).alias("cars"), F.sum(got("end_to_start", "OTOMOBIL")).alias("back"))
 
 
 @R.add("agg_traffic_window", "WITH b AS (SELECT tunnel_id, ts_entry::DATE AS day, direction, classification, count(*) AS n FROM firsts GROUP BY ALL) SELECT day::VARCHAR AS day, tunnel_id, sum(n)::BIGINT AS vehicles, string_agg(direction || '/' || classification || '=' || n, ',' ORDER BY direction, classification) AS counts FROM b GROUP BY ALL")

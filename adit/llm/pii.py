@@ -53,6 +53,11 @@ def _for(kind: str, make):
     return lambda span: make(kind, span)
 
 
+def _once(value: Column, make) -> Column:
+    """``make`` of a value that is computed once: a lambda inside would compute it for each of its elements."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -115,9 +120,8 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumns({f"{k}_found": F.when(may.get(k, F.lit(True)), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none) for k, p in PATTERNS.items()})
     rows = rows.withColumns({f"{k}_pieces": F.when(F.size(f"{k}_found") > 0, F.split("text", p, -1)) for k, p in PATTERNS.items()})
     # matches that do not count still use up their text: places first, the test after
-    rows = rows.withColumns(
-        {k: F.when(F.size(f"{k}_found") > 0, F.filter(located(F.col(f"{k}_found"), F.col(f"{k}_pieces")), _for(k, lambda k, s: holds(k, s["value"])))).otherwise(F.array().cast(_SPAN)) for k in KINDS}
-    )
+    places = lambda k: _once(F.struct(F.col(f"{k}_found").alias("found"), F.col(f"{k}_pieces").alias("pieces")), lambda x: located(x["found"], x["pieces"]))
+    rows = rows.withColumns({k: F.when(F.size(f"{k}_found") > 0, F.filter(places(k), _for(k, lambda k, s: holds(k, s["value"])))).otherwise(F.array().cast(_SPAN)) for k in KINDS})
     return rows.select("doc_id", "text", *KINDS)
 
 
@@ -152,58 +156,84 @@ def entities() -> Column:
     return F.array_distinct(F.flatten(F.array(*[F.transform(F.col(k), _for(k, lambda k, s: F.concat(F.lit(f"{k}:"), F.lower(s["value"])))) for k in KINDS])))
 
 
-def disclosing_terms(
-    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_TERMS
-) -> tuple[DataFrame, DataFrame]:
-    """Terms that disclose entities, and the documents that may hold them.
+def _few(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
 
-    ``rows`` as from ``base_spans``. Patterns run over them once, to find the documents with an
-    entity; those (with their texts) are kept for what is counted of them. The words of all texts
-    are read twice: to count the candidate terms, and to find the documents of disclosing terms.
-    All counts are of rows. Gives ``term, entity, share, bits, removed`` and, for each document
-    with such a word (inside its spans or not), ``doc_id, digest, term``.
-    """
 
-    def few(df: DataFrame) -> bool:
-        return df.limit(broadcast_rows + 1).count() <= broadcast_rows
+def _semi(df: DataFrame, wanted: DataFrame, key: str, broadcast_rows: int) -> DataFrame:
+    return df.join(F.broadcast(wanted) if _few(wanted, broadcast_rows) else wanted, key, "left_semi")
+
 
-    def semi(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-        return df.join(F.broadcast(wanted) if few(wanted) else wanted, key, "left_semi")
+def by_documents(items: DataFrame, name: str) -> DataFrame:
+    """``name, n, low, high, set`` of ``digest, name``: how many rows hold an item, and which texts.
+
+    Items of one ``set`` stand in the same texts: the rows are counted, and two hashes of each one's
+    digest added up, by halves that cannot overflow.
+    """
+    halves = [x for seed in (1, 2) for h in [F.xxhash64("digest", F.lit(seed))] for x in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    sums = [F.sum(x).alias(f"s{k}") for k, x in enumerate(halves)]
+    counted = items.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"), *sums)
+    return counted.select(name, "n", "low", "high", F.concat_ws(":", "n", *[f"s{k}" for k in range(len(sums))]).alias("set"))
 
+
+def _classes(
+    rows: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS, broadcast_rows: int = BROADCAST_TERMS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Terms with the classes of entities that they disclose, the classes' entities, and the documents
+    that may hold these terms: ``term, set, share, bits, removed``; ``entity, set``; ``doc_id, digest, term``."""
     digest, one = F.xxhash64("text").alias("digest"), F.count(F.lit(1))
-    evidence = [one.alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")]
-    held = checkpointed(rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0).select(digest, "text", *KINDS))
-    n_e = checkpointed(held.select("digest", F.explode(entities()).alias("entity")).groupBy("entity").agg(*evidence).withColumnRenamed("n", "n_e"))
-    # what stands in one text only has one piece of evidence: dropped before its terms are listed
+    # what stands in one text only has one piece of evidence: dropped before anything is paired
     several = (F.col("low") != F.col("high")) if contexts > 1 else F.lit(True)
-    outside = distinct_words(masked())
-    mentions = held.select("digest", outside.alias("terms"), F.explode(entities()).alias("entity"))
-    pairs = semi(mentions, n_e.where(several).select("entity"), "entity").select("digest", "entity", F.explode("terms").alias("term"))
-    # counts only, combined in each task: common terms stand in most documents
-    candidates = pairs.groupBy("entity", "term").agg(*evidence).where(several).select("entity", "term", F.col("n").alias("n_et"))
-    # a term's documents that hold some entity are some of its documents: they alone may show that the share is too low
-    at_least = held.select(F.explode(outside).alias("term")).groupBy("term").agg(one.alias("least"))
-    candidates = checkpointed(candidates.join(at_least, "term").where(F.col("n_et") >= share * F.col("least")).select("entity", "term", "n_et"))
-    terms = candidates.select("term").distinct()
+    held = rows.where(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
+    held = checkpointed(held.select(digest, "text", distinct_words(masked()).alias("terms"), entities().alias("entities")))
+    of_entity, of_term = held.select("digest", F.explode("entities").alias("entity")), held.select("digest", F.explode("terms").alias("term"))
+    n_e = checkpointed(by_documents(of_entity, "entity").where(several).select("entity", "set", F.col("n").alias("n_e")))
+    # a term's documents that hold some entity are some of its documents: they alone may show that a share is too low
+    terms = checkpointed(by_documents(of_term, "term").where(several).select("term", F.col("set").alias("t_set"), F.col("n").alias("least")))
+    # each set is counted by one of its members, once for each different text
+    some_entity = n_e.groupBy("set", "n_e").agg(F.min("entity").alias("entity"))
+    some_term = terms.groupBy("t_set", "least").agg(F.min("term").alias("term"))
+    joined = lambda df, other, key: df.join(F.broadcast(other) if _few(other, broadcast_rows) else other, key)
+    with_set = checkpointed(joined(of_entity, some_entity, "entity").groupBy("digest", "set", "n_e").agg(one.alias("copies")))
+    near = _semi(of_term, with_set.select("digest").distinct(), "digest", broadcast_rows)
+    with_term = joined(near, some_term, "term").select("digest", "t_set", "least").distinct()
+    pairs = with_set.join(with_term, "digest").where(F.col("n_e") >= share * F.col("least"))
+    pairs = pairs.groupBy("set", "n_e", "t_set", "least").agg(F.sum("copies").alias("n_et"), one.alias("texts"))
+    pairs = pairs.where((F.col("texts") >= contexts) & (F.col("n_et") >= share * F.col("least")))
+    candidates = checkpointed(pairs.select("set", "n_e", "t_set", "n_et").join(terms, "t_set").select("set", "n_e", "term", "n_et"))
+    wanted = candidates.select("term").distinct()
     each = rows.select("doc_id", digest, F.explode(distinct_words(F.col("text"))).alias("term"))
     counted = lambda words, n: words.groupBy("term").agg(one.alias(n))
-    if few(terms):
-        n_all = counted(each.join(F.broadcast(terms), "term", "left_semi"), "n_all")
+    if _few(wanted, broadcast_rows):
+        n_all = counted(each.join(F.broadcast(wanted), "term", "left_semi"), "n_all")
     else:
-        n_all = counted(each, "n_all").join(terms, "term", "left_semi")
+        n_all = counted(each, "n_all").join(wanted, "term", "left_semi")
     # words that a document has inside its spans only do not count
-    inside = counted(held.select(F.explode(F.array_except(distinct_words(F.col("text")), outside)).alias("term")), "n_in")
+    inside = counted(held.select(F.explode(F.array_except(distinct_words(F.col("text")), "terms")).alias("term")), "n_in")
     n_t = n_all.join(inside, "term", "left").select("term", (F.col("n_all") - F.coalesce("n_in", F.lit(0))).alias("n_t"))
     total = rows.agg(one.alias("total"))
-    judged = candidates.join(n_t, "term").join(n_e.select("entity", "n_e"), "entity").crossJoin(F.broadcast(total))  # one row
+    judged = candidates.join(n_t, "term").crossJoin(F.broadcast(total))  # one row
     p = F.col("n_et") / F.col("n_t")
-    judged = judged.select("term", "entity", p.alias("share"), F.log2(p * F.col("total") / F.col("n_e")).alias("bits"))
+    judged = judged.select("term", "set", p.alias("share"), F.log2(p * F.col("total") / F.col("n_e")).alias("bits"))
     judged = judged.where((F.col("share") >= share) & (F.col("bits") >= bits)).withColumn("removed", F.col("share") >= REMOVE)
     judged = checkpointed(judged)
-    if contexts > 2:
-        texts = pairs.join(judged.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.countDistinct("digest").alias("texts"))
-        judged = checkpointed(judged.join(texts.where(F.col("texts") >= contexts).select("entity", "term"), ["entity", "term"], "left_semi"))
-    return judged, semi(each, judged.select("term").distinct(), "term")
+    return judged, n_e.select("entity", "set"), _semi(each, judged.select("term").distinct(), "term", broadcast_rows)
+
+
+def disclosing_terms(rows: DataFrame, **thresholds) -> tuple[DataFrame, DataFrame]:
+    """Terms that disclose entities, and the documents that may hold them.
+
+    ``rows`` as from ``base_spans``. Patterns run over them once, to find the documents with an
+    entity; those (with their words) are kept for what is counted of them. Entities that stand in
+    the same texts have the same figures with every term, and so have terms that stand in the same
+    of these texts: sets of either are paired, not their members, by a join on the text's digest
+    that takes only pairs frequent enough. A long list of addresses in two texts is one set. The
+    words of all texts are read twice: to count the candidate terms, and to find the documents of
+    disclosing terms. All counts are of rows. Gives ``term, entity, share, bits, removed`` and, for
+    each document with such a word (inside its spans or not), ``doc_id, digest, term``.
+    """
+    judged, members, holding = _classes(rows, **thresholds)
+    return judged.join(members, "set").select("term", "entity", "share", "bits", "removed"), holding
 
 
 def general_form(term: Column) -> Column:
@@ -216,21 +246,23 @@ def with_terms(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast
     ``term`` has ``start, end, value``; the value is the replacement: nothing for a removed term, else
     the term's kind (``[NUMBER]``, ``[CODE]`` with digits and letters, ``[TERM]``).
     """
-    of_doc = holding.join(judged.groupBy("term").agg(F.max("removed").alias("removed")), "term")
-    of_doc = of_doc.groupBy("doc_id", "digest").agg(
-        F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("gone"), F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("general")
-    )
-    of_doc = checkpointed(of_doc)
-    few = of_doc.limit(broadcast_rows + 1).count() <= broadcast_rows
-    of_doc = of_doc.withColumnsRenamed({"doc_id": "of_id", "digest": "of_digest"})
-    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_digest"))
-    both = rows.join(F.broadcast(of_doc) if few else of_doc, same, "left")
-    is_in = lambda wanted, s: F.array_contains(wanted, F.lower(s["value"]))
+    of_text = holding.join(judged.groupBy("term").agg(F.max("removed").alias("removed")), "term")
+    of_text = checkpointed(of_text.select("digest", "term", "removed").distinct())
+    none = F.array().cast(_SPAN)
+    if of_text.isEmpty():
+        return rows.select("doc_id", "text", *KINDS, none.alias("term"))
+    holds_some = _semi(rows.withColumn("digest", F.xxhash64("text")), of_text.select("digest").distinct(), "digest", broadcast_rows)
     # bound step by step: what a lambda refers to would be computed for each of its elements
     split = F.transform(F.array(masked()), lambda text: F.struct(words(text).alias("found"), F.split(text, RUN, -1).alias("pieces")))
-    placed = F.flatten(F.transform(split, lambda x: F.filter(located(x["found"], x["pieces"]), lambda s: is_in(F.col("gone"), s) | is_in(F.col("general"), s))))
-    placed = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(is_in(F.col("gone"), s), "").otherwise(general_form(s["value"])).alias("value")))
-    return both.select("doc_id", "text", *KINDS, F.when(F.col("of_digest").isNotNull(), placed).otherwise(F.array().cast(_SPAN)).alias("term"))
+    placed = F.flatten(F.transform(split, lambda x: located(x["found"], x["pieces"])))
+    spans = holds_some.select("digest", F.explode(placed).alias("s")).withColumn("term", F.lower("s.value"))
+    spans = spans.join(F.broadcast(of_text) if _few(of_text, broadcast_rows) else of_text, ["digest", "term"])
+    by = F.when(F.col("removed"), "").otherwise(general_form(F.col("s.value")))
+    # equal texts have equal spans: one set of them for all copies
+    spans = spans.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"), by.alias("value")))).alias("term"))
+    spans = checkpointed(spans).withColumnRenamed("digest", "of_digest")
+    both = rows.join(F.broadcast(spans) if _few(spans, broadcast_rows) else spans, F.xxhash64("text") == F.col("of_digest"), "left")
+    return both.select("doc_id", "text", *KINDS, F.coalesce("term", none).alias("term"))
 
 
 def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -242,7 +274,8 @@ def term_spans(rows: DataFrame, judged: DataFrame, holding: DataFrame, broadcast
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """``doc_id, text, email, ip, card, phone, term``: all spans of every row."""
     rows = base_spans(docs, id_col, text_col)
-    return with_terms(rows, *disclosing_terms(rows, **thresholds))
+    judged, _, holding = _classes(rows, **thresholds)
+    return with_terms(rows, judged, holding)
 
 
 def sanitised_text() -> Column:

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adit.llm import resemblance
 from adit.llm.common import checkpointed, free_name, map_rows, table, text_of
 
 RADIUS = 3
@@ -35,19 +36,28 @@ _COLUMN = (np.arange(8) * 256)[None, :]
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a text, as a signed integer."""
+def shingle_hashes(text: str, shingle: int = SHINGLE, seed: int = SEED) -> bytes:
+    """The hashes of a text's shingles in order, eight bytes each (big-endian)."""
     words = text.encode().lower().split()  # bytes: lowers A-Z, splits at ASCII white space
     if not words:
-        return 0
+        return b""
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = ends[shingle - 1 :].tolist() or [len(joined)]
-    hashes = b"".join([xxhash.xxh64_digest(joined[s:e], seed) for s, e in zip(starts.tolist(), last, strict=False)])
+    return b"".join([xxhash.xxh64_digest(joined[s:e], seed) for s, e in zip(starts.tolist(), last, strict=False)])
+
+
+def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The 64-bit SimHash of a text, as a signed integer."""
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
+def fingerprint_of(hashes: bytes) -> int:
+    """The SimHash of shingles with these hashes."""
     octets = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
     counts = np.bincount((octets + _COLUMN).ravel(), minlength=2048).reshape(8, 256) @ _BITS
-    bits = np.packbits(counts.ravel() * 2 > len(octets))
+    bits = np.packbits(counts.ravel() * 2 > len(octets))  # none set without shingles
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
@@ -211,10 +221,14 @@ def components(edges: DataFrame) -> DataFrame:
         edges, before = checkpointed(star(star(edges, True), False)), now
 
 
-def classes_of(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``fp, least, root`` for every fingerprint of ``rows`` (doc_id, fp); least is its smallest id."""
+def classes_of(rows: DataFrame, radius: int = RADIUS, more: DataFrame | None = None) -> DataFrame:
+    """``fp, least, root`` for every fingerprint of ``rows`` (doc_id, fp); least is its smallest id.
+
+    ``more``: further links ``a, b`` between fingerprints.
+    """
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp"), radius))
+    found = links(distinct.select("fp"), radius)
+    roots = components(found if more is None else found.unionByName(more))
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     return checkpointed(classes.select("fp", "least", F.coalesce("root", "fp").alias("root")))
 
@@ -228,18 +242,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, alike: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id (null last).
 
+    With ``alike``, texts also link where their five-word shingles are alike by 0.8 (see ``resemblance``).
     Ids may be null or repeat: a row is known by its id and the digest of its text, and of one id's
     texts in a component the one with the smallest digest stays. Rows that repeat both are one
     document seen again; one of them stays.
     """
     keyed = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     keyed = keyed.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    make = lambda: lambda columns: [columns[0], columns[2], list(map(fingerprint, columns[1]))]
-    rows = checkpointed(map_rows(keyed, "doc_id long, digest string, fp long", make))
-    classes = classes_of(rows.select("doc_id", "fp"), radius)
+
+    def make():
+        def work(columns):
+            hashes = list(map(shingle_hashes, columns[1]))
+            signed = [resemblance.signature(np.frombuffer(h, ">u8").astype(np.uint64)) if alike else None for h in hashes]
+            return [columns[0], columns[2], list(map(fingerprint_of, hashes)), signed]
+
+        return work
+
+    rows = checkpointed(map_rows(keyed, "doc_id long, digest string, fp long, signature binary", make))
+    more = resemblance.links(rows.select(F.col("fp").alias("node"), "signature")) if alike else None
+    classes = classes_of(rows.select("doc_id", "fp"), radius, more)
     # one candidate a fingerprint, then one a component: both combine in each task
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     of_fp = rows.groupBy("fp").agg(F.min(first).alias("first"))

@@ -28,8 +28,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked near copies the document with the smallest id."""
-    return simhash.keep_one_of_each(docs)
+    """Of linked near copies the document with the smallest id. Texts link by their SimHashes, as in the
+    operator's query, and where their five-word shingles are alike by 0.8."""
+    return simhash.keep_one_of_each(docs, alike=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,7 +122,9 @@ def validated(raw: DataFrame, value: str = "value", now_ms: Column | None = None
     """``raw`` with ``kind`` (detection, health, rejected), ``key``, ``reason``, ``detail`` and the record.
 
     The record is JSON: the payload with received_ts, processed_ts and tbmq_node, or the rejection.
+    A column of the source by one of these names, as a broker's ``key``, becomes ``record_<name>``.
     """
+    raw = raw.withColumnsRenamed({c: f"record_{c}" for c in raw.columns if c.lower() in ("kind", "key", "reason", "detail", "record") and c != value})
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
     text = F.when(F.is_valid_utf8(F.col(value).cast("string")), F.col(value).cast("string"))
     df = raw.withColumn("_e", F.try_parse_json(text)).withColumn("_t", _types("_e"))

@@ -117,14 +117,15 @@ def read_topic(raw: DataFrame, topic: str, value: str = "value") -> tuple[DataFr
     """Typed rows of a topic and, apart, the records that are no JSON of its schema.
 
     ``raw`` has the record's ``value`` and whatever else the source gives (key, partition, offset),
-    which stays. A field that is missing gets its type's default, as the store's tables give it;
-    rows whose time is implausible are left out.
+    which stays (as ``record_<name>`` where the topic has a field of that name). A field that is
+    missing gets its type's default, as the store's tables give it; rows whose time is implausible are left out.
     """
     schema = TOPICS[topic]
+    fields = {name for name, _ in _fields(schema)}
     parsed = raw.withColumn("_r", F.from_json(F.col(value).cast("string"), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
     bad = parsed.where(F.col("_r").isNull() | F.col("_r._bad").isNotNull()).drop("_r")
     good = parsed.where(F.col("_r").isNotNull() & F.col("_r._bad").isNull())
-    kept = [c for c in raw.columns if c != value]
+    kept = [F.col(c).alias(f"record_{c}" if c.lower() in fields else c) for c in raw.columns if c != value]
     defaults = {"string": F.lit(""), "bigint": F.lit(0), "int": F.lit(0), "double": F.lit(0.0), "boolean": F.lit(False)}
     nullable = {"vehicle_id", "true_class", "tbmq_node", "topic", "client_cert_cn", "received_ts", "avg_speed_kmh", "length_m"} if topic in ("traffic", "rejected") else {"vehicle_id", "true_class", "tbmq_node"}
     columns = []

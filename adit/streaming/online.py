@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adit.operators.alerts import dimension
 from adit.operators.lineage import checkpointed
+from adit.sources import domain
 from adit.streaming import fusion
 from adit.streaming.sensors import once_by_sequence
 
@@ -189,3 +190,17 @@ def fuse_stream(
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
     once = once.unionByName(ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in once.schema]))
     return once.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def fuse_topic(raw: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """``fuse_stream`` of the topic of detections as its source gives it: JSON in ``value``.
+
+    A detection arrives with its record's ``timestamp``, without one at its own time. The boot is the
+    middle part of ``message_id`` (``sensor:boot:seq``), empty where there is none. Records that
+    are none of the topic's schema are left out; ``pipeline.load_topic`` stores them.
+    """
+    rows, _ = domain.read_topic(raw, "detections")
+    stamp = F.unix_millis("timestamp") if "timestamp" in raw.columns else F.lit(None)
+    boot = F.coalesce(F.get(F.split("message_id", ":", -1), F.lit(1)), F.lit(""))
+    rows = rows.withColumns({"boot_id": boot, "arrival": F.coalesce(stamp, "ts")})
+    return fuse_stream(rows.selectExpr(*[f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in fusion.INPUT.split(", ")]), path, checkpoint, **options)

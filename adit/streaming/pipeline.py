@@ -12,6 +12,10 @@ from adit.operators.validate import validated
 from adit.sources import domain
 
 
+#: What a Kafka source gives for each record.
+KAFKA_RECORD = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+
+
 def envelopes(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
     """Raw records from files, as a Kafka source gives them: ``value`` and where they came from."""
     return spark.readStream.schema("value binary, partition int, offset long").option("maxFilesPerTrigger", files_per_trigger).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adit.operators import rollup
 from adit.sources import binding, domain
-from adit.streaming import pipeline
+from adit.streaming import online, pipeline, sensors
 
 T = 1_720_000_000_000
 DAY = 86_400_000
@@ -47,6 +47,57 @@ def test_a_topic_becomes_a_table_by_day(spark, tmp_path, topic):
     assert spark.read.parquet(str(tmp_path / "table_broken")).count() == broken.count() >= 1
 
 
+def recorded(spark, values, topic):
+    """Records as Kafka gives them, their timestamps 20 ms after one another."""
+    rows = spark.createDataFrame([(v.encode(), k) for k, v in enumerate(values)], "value binary, offset long")
+    return rows.select(
+        F.lit(None).cast("binary").alias("key"), "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), "offset",
+        F.timestamp_millis(F.lit(T) + F.col("offset") * 20).alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
+
+
+@pytest.mark.parametrize("topic", ["rejected", "vehicles"])
+def test_records_of_a_broker_become_a_table(spark, tmp_path, topic):
+    recorded(spark, [json.dumps(RECORDS[topic] | {"topic": "own"}), "{broken"], topic).write.parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema(pipeline.KAFKA_RECORD).parquet(str(tmp_path / "in"))
+    pipeline.load_topic(raw, topic, str(tmp_path / "table"), str(tmp_path / "cp")).awaitTermination(120)
+    stored = spark.read.parquet(str(tmp_path / "table")).collect()
+    assert len(stored) == 1 and stored[0]["offset"] == 0
+    assert stored[0]["topic"] == ("own" if topic == "rejected" else topic)  # a field of the topic goes before the broker's
+    assert topic != "rejected" or stored[0]["record_topic"] == topic
+    assert spark.read.parquet(str(tmp_path / "table_broken")).count() == 1
+
+
+def test_records_of_a_broker_are_split_and_fused(spark, tmp_path):
+    """A topic of detections as a broker gives it: the events are those of the typed table."""
+    recorded(spark, ["{broken"], "in").write.parquet(str(tmp_path / "raw"))
+    pipeline.split_to_tables(spark.readStream.schema(pipeline.KAFKA_RECORD).parquet(str(tmp_path / "raw")), str(tmp_path / "split"), str(tmp_path / "cp0")).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "split" / "rejected")).count() == 1
+
+    def detection(position, k, seq, boot="b"):
+        at = T + 20_000 * k + {"start": 0, "middle": 30_000, "end": 60_000}[position]
+        return {
+            "schema": 2, "message_id": f"T1-{position}:{boot}:{seq}", "sensor_id": f"T1-{position}", "tunnel_id": "T1", "position": position, "seq": seq, "ts": at, "lane": 1,
+            "direction": domain.DIRECTIONS[0], "plate": f"34 AB {k:03d}", "speed_kmh": 90.0, "length_m": 4.0 + k % 3, "confidence": 0.9, "classification": "OTOMOBIL",
+        }
+
+    sent = sorted((detection(p, k, k + 1) for k in range(8) for p in domain.POSITIONS), key=lambda d: d["ts"])
+    sent += [detection("start", 900, 1, "b2")]  # the sensor began anew, much later: time passes for all before
+    values = [json.dumps(d) for d in sent]
+    values[3:3] = [values[2], "{broken"]  # a repeat and a broken record
+    recorded(spark, values, "detections").coalesce(1).write.parquet(str(tmp_path / "in"))
+    known = spark.createDataFrame([("T1", 750.0)], "tunnel_id string, half_m double")
+    raw = spark.readStream.schema(pipeline.KAFKA_RECORD).parquet(str(tmp_path / "in"))
+    spark.conf.set(*sensors.STORE)
+    online.fuse_topic(raw, str(tmp_path / "out"), str(tmp_path / "cp"), known=known, use_noise=False, idle_s=None, behind_s=None, lateness_s=1e9).awaitTermination(200)
+    spark.conf.unset(sensors.STORE[0])
+    found = {tuple(sorted(r["detections"])) for r in spark.read.parquet(str(tmp_path / "out" / "events")).collect()}
+    assert found == {tuple(sorted(f"T1-{p}:b:{k + 1}" for p in domain.POSITIONS)) for k in range(8)}
+    pending = online.States(spark, str(tmp_path / "out" / "state")).before(10**9)["pending"].collect()
+    assert [(r["message_id"], r["boot_id"]) for r in pending] == [("T1-start:b2:1", "b2")]
+    assert pending[0]["arrival"] == T + (len(values) - 1) * 20
+
+
 def test_one_stream_feeds_minutes_hours_and_ids(spark, tmp_path):
     vehicles = binding.vehicles(spark, "/root/testdata/sf0.001").withColumn("at", F.col("ts_entry").cast("timestamp"))
     for k in range(2):

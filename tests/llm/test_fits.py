@@ -98,6 +98,61 @@ def test_rules_grow_by_the_best_gain():
     assert (decision_list.covers(grown, x) == decision_list.covers(tuple(plain), x)).all()
 
 
+def plain_prune(rule, x, bad):
+    """The shortest of the best beginnings of a rule, counted row by row."""
+    best = None
+    for k in range(1, len(rule) + 1):
+        held = [i for i in range(len(bad)) if all(bool(c.holds({c.measure: x[c.measure][i]})) for c in rule[:k])]
+        p = sum(bool(bad[i]) for i in held)
+        worth = (2 * p - len(held)) / len(held) if held else -1.0
+        if best is None or worth > best[0]:
+            best = worth, rule[:k]
+    return best[1] if best else []
+
+
+def plain_list(rows, label):
+    """The whole decision list, by sets of row numbers."""
+    x, bad = decision_list.measures(rows), {i for i, y in enumerate(label) if y == 0}
+    left, growing, rules = set(range(len(label))), {i for i in range(len(label)) if i % 3 != 2}, []
+    at = lambda rows: ({k: v[sorted(rows)] for k, v in x.items()}, np.array([i in bad for i in sorted(rows)], bool))
+    while len(rules) < decision_list.MOST_RULES and len(bad & growing) >= decision_list.MIN_COVERED:
+        rule = plain_grow(*at(growing))
+        rule = plain_prune(rule, *at({i for i in left if i % 3 == 2}))
+        covered = {i for i in left if all(bool(c.holds({c.measure: x[c.measure][i]})) for c in rule)}
+        held = {i for i in covered if i % 3 == 2}
+        if not covered & bad & growing:
+            break
+        good = len(covered & bad) >= max(decision_list.MIN_COVERED, decision_list.MIN_PRECISION * len(covered))
+        if good and held and len(held & bad) >= decision_list.MIN_PRECISION * len(held):
+            rules.append(rule)
+            left, growing = left - covered, growing - covered
+        else:
+            growing = growing - (covered & bad)
+    return rules
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_whole_list_is_that_of_plain_covering(seed):
+    rng = np.random.default_rng(seed)
+    n = 240
+    symbols, upper, lines = rng.integers(0, 40, n), rng.integers(0, 400, n), rng.integers(0, 10, n)
+    bad = (upper > 320) | (symbols > 30) & (lines > 4) | (rng.random(n) < 0.03)
+    rows, label = numbers(n, n_symbols=symbols, n_upper=upper, n_dup_lines=lines), (~bad).astype(int)
+    found, plain = decision_list.learn_rules(rows, label), plain_list(rows, label)
+    x = decision_list.measures(rows)
+    covered = lambda rules: [decision_list.covers(tuple(r), x).tolist() for r in rules]
+    assert found and covered(found) == covered(plain)
+
+
+def test_a_rule_is_cut_to_its_best_beginning():
+    rng = np.random.default_rng(12)
+    x = {m: rng.random(60) for m in ("symbols_per_word", "upper_share", "words")}
+    for _ in range(30):
+        bad = (x["upper_share"] > rng.random()) ^ (rng.random(60) < 0.2)
+        rule = tuple(decision_list.Condition(m, bool(rng.random() < 0.5), float(rng.random())) for m in x)
+        assert decision_list._prune(rule, x, bad) == tuple(plain_prune(rule, x, bad))
+
+
 def numbers(n, **columns):
     rows = np.zeros((n, len(NAMES)), np.int64)
     for name, values in {"n_words": 100, "n_lines": 10, "word_chars": 500, **columns}.items():

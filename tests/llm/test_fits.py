@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adit.llm import decision_list, language, preference
 from adit.llm.statistics import NAMES
@@ -215,3 +216,30 @@ def test_no_language_is_left_out(spark):
     found = language.identified(docs, model).where("doc_id < 300").collect()
     assert np.mean([r["lang_pred"] == f"l{r['doc_id'] // 5:03d}" for r in found]) > 0.8
     assert {r["lang_pred"] for r in language.identified(docs, model).where("doc_id IN (1001, 1002)").collect()} == {"und"}
+
+
+def test_every_labelled_document_and_every_pair_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = preference.training_labels(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    model = preference.learn(docs, labels)
+    rows = docs.join(labels.where("quality in (0, 1)"), "doc_id").select("text", "quality").collect()
+    x, label = preference.features([r["text"] or "" for r in rows]).astype(float), np.array([r["quality"] for r in rows])
+    plain = preference.fit(x, label)  # all pairs one by one
+    assert np.allclose(model.mean, plain.mean) and np.allclose(model.spread, plain.spread)
+    assert np.allclose(model.weights, plain.weights, atol=1e-4)
+    assert model.cut == pytest.approx(plain.cut, abs=1e-3) and model.scale == pytest.approx(plain.scale, abs=1e-3)
+    # added documents that say the opposite move the fit
+    more = docs.join(labels.where("quality = 1"), "doc_id").select((-F.col("doc_id") - 1).alias("doc_id"), "text")
+    wrong = more.select("doc_id", F.lit(0).alias("quality"))
+    moved = preference.learn(docs.select("doc_id", "text").unionByName(more), labels.select("doc_id", "quality").unionByName(wrong))
+    assert np.abs(moved.weights - model.weights).max() > 0.1
+
+
+def test_the_cut_over_all_scores_is_exact(spark):
+    rng = np.random.default_rng(6)
+    for width in (0.01, 3.0):  # within one cell and over many
+        label = rng.integers(0, 2, 400)
+        s = np.round(rng.normal(size=400) + label, 2) * width
+        found = preference.best_cut(spark.createDataFrame([(int(y), float(v)) for y, v in zip(label, s, strict=True)], "label int, s double"))
+        right = lambda c: ((s > c) & (label == 1)).sum() / (label == 1).sum() + ((s <= c) & (label == 0)).sum() / (label == 0).sum()
+        assert right(found) == pytest.approx(max(right(c) for c in s)) and found not in s

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from adit.llm.common import map_rows, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000  # some 60 MB in each worker; the words met first are most of what follows
 REPLAY_WORDS = 200_000  # laid out at once: many, as each rank costs some array operations
 
 
@@ -52,6 +52,7 @@ class MergeReplay:
         self.token = {rank: token for token, rank in ranks.items()}
         self.decimal = {rank: str(rank) for rank in self.token}
         self.words = splitter(pattern).findall
+        self.numbers = list(range(self.end))  # one object for each id: the cache holds many
         self.one = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         #: what two neighbouring bytes merge into, or -1
         self.pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int64)
@@ -153,7 +154,7 @@ class MergeReplay:
                     places[becomes] = [place]
                     heapq.heappush(queue, becomes)
         alive = tokens[:n] >= 0
-        ids, upto = tokens[:n][alive].tolist(), np.concatenate(([0], np.cumsum(alive)[ends - 1])).tolist()
+        ids, upto = list(map(self.numbers.__getitem__, tokens[:n][alive].tolist())), np.concatenate(([0], np.cumsum(alive)[ends - 1])).tolist()
         merged = [tuple(ids[i:j]) for i, j in zip(upto, upto[1:], strict=False)]
         for word in apart:
             merged[word] = self.merge_alone(parts[word])
@@ -186,8 +187,9 @@ class MergeReplay:
 
     def encode(self, texts: Iterable[str]) -> list[list[int]]:
         """The ids of every text. Words met before come from a cache of bounded size."""
-        split, cache = [self.words(text) for text in texts], self.cache
-        new = list(set(chain.from_iterable(split)).difference(cache))
+        seen, cache = {}, self.cache
+        split = [list(map(seen.setdefault, words, words)) for words in map(self.words, texts)]  # one string for each word
+        new = [word for word in seen if word not in cache]
         for start in range(0, len(new), REPLAY_WORDS):
             part = new[start : start + REPLAY_WORDS]
             cache.update(zip(part, self.replay([w.encode() for w in part]), strict=True))

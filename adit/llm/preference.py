@@ -38,7 +38,7 @@ DAMPING = 10  # hashed features are scaled down by this, so that their ridge is
 CELL = 1 / 64  # width of the grid on which scores are counted; cubics between its places are off by less than 1e-9
 NODES = 128  # places between which the curvature is linear
 _ONE = 1 << 24  # what a row counts in the histogram
-_AT_ONCE, _ROWS, _GROUPS = 10_000, 2048, 64
+_AT_ONCE, _ROWS, _GROUPS, _IN_TASK = 10_000, 2048, 64, 25_000
 
 
 def hashed(text: str) -> np.ndarray:
@@ -318,6 +318,7 @@ def learn_from(vectors: DataFrame, labels: DataFrame, label: str = "quality", ri
     if found is None or not 0 < found[1] < found[0]:
         return None
     n, mean = (found[0] - found[1], found[1]), found[2:] / found[0]
+    rows = rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, int(found[0]) // _IN_TASK))  # few tasks for few rows: every step reads them
     spread = np.maximum(np.sqrt(total(rows, lambda _, x: ((x - mean) ** 2).sum(0)) / found[0]), 1e-6)
     spread[-2 * BUCKETS :] *= DAMPING
     model = Ranking(mean, spread, np.zeros(len(mean)), 0.0, 1.0)

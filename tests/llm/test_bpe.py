@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import tiktoken
@@ -94,3 +95,20 @@ def test_documents(awkward, empty, documents):
             if len(text) < 10_000:
                 assert r["ids"] == LIBRARY.encode_ordinary(text)
     assert bpe.encode_documents(empty, RANKS).count() == 0
+
+
+def test_repeated_words_and_ids_are_held_once():
+    coder = bpe.MergeReplay(RANKS)
+    text = " caterpillarish" * 200_000
+    coder.encode([text[:1500]])
+    tracemalloc.start()
+    ids = coder.encode([text])[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80 * 200_000  # lists of references; each word apart took 63 bytes more
+    big = [i for i in ids if i > 256]
+    assert big and len(set(map(id, big))) == len(set(big))
+    words = [f" zq{a}{b}xj" for a in "abcdefgh" for b in "abcdefgh"]
+    coder.encode(words)
+    held = [i for w in words for i in coder.cache[w] if i > 256]
+    assert len(set(map(id, held))) == len(set(held))

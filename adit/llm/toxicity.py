@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cached_property
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +49,8 @@ FOLDS, HELD = 4, 2
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>/\\-_=+~`"
 
 
-def terms_of(text: str) -> dict[str, int]:
-    """How often each word stands in the text."""
-    words, found = Counter(text.lower().split()), {}
-    for word, n in zip(map(str.strip, words, repeat(_MARKS)), words.values(), strict=True):
-        found[word] = found[word] + n if word in found else n
-    found.pop("", None)
-    return found
-
-
 def distinct_terms(text: str) -> set[str]:
-    """The keys of ``terms_of``."""
+    """The words of the text, without the marks around them."""
     found = set(map(str.strip, set(text.lower().split()), repeat(_MARKS)))
     found.discard("")
     return found
@@ -80,6 +71,27 @@ class Terms:
     def number(self) -> dict[str, int]:
         return {t: i for i, t in enumerate(self.terms.to_pylist())}
 
+    @cached_property
+    def of_word(self) -> "Numbers":
+        return Numbers(self.number)
+
+    def __getstate__(self):  # dictionaries are made in the workers
+        return {"terms": self.terms}
+
+
+class Numbers(dict):
+    """The number of the term that a word (with its marks) stands for, -1 without one; found once for each
+    word met, and of bounded size."""
+
+    def __init__(self, number: dict[str, int], most: int = 200_000):
+        self.number, self.most = number, most
+
+    def __missing__(self, word: str) -> int:
+        found = self.number.get(word.strip(_MARKS), -1)
+        if len(self) < self.most:
+            self[word] = found
+        return found
+
 
 class Weights:
     """The terms' numbers and weights; makes vectors of texts."""
@@ -88,17 +100,18 @@ class Weights:
         self.terms, self.weight = terms, weight
 
     @property
-    def term_id(self) -> dict[str, int]:
-        return self.terms if isinstance(self.terms, dict) else self.terms.number
+    def of_word(self) -> Numbers:
+        return Numbers(self.terms) if isinstance(self.terms, dict) else self.terms.of_word
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, ascending, and weights of length 1."""
-        have = terms_of(text)
-        t = np.fromiter(map(self.term_id.get, have, repeat(-1)), np.int32, len(have))
-        n = np.fromiter(have.values(), float, len(have))
-        order = np.argsort(t)[np.count_nonzero(t < 0) :]
-        t = t[order]
-        w = (1 + np.log(n[order])) * self.weight[t]
+        words = text.lower().split()
+        every = np.fromiter(map(self.of_word.__getitem__, words), np.int32, len(words))
+        every.sort()
+        every = every[np.searchsorted(every, 0) :]
+        first = np.flatnonzero(np.diff(every, prepend=-1))
+        t = every[first]
+        w = (1 + np.log(np.diff(first, append=len(every)))) * self.weight[t]
         t, w = t[w > 0], w[w > 0]
         return t, (w / max(np.sqrt((w**2).sum()), 1e-12)).astype(np.float32)
 
@@ -187,7 +200,12 @@ class Index:
         most = sums + np.repeat(bound, BLOCK)[: self.n]
         if without >= 0:
             most[without] = 0
-        first = np.argpartition(most, self.n - FIRST * k)[-FIRST * k :] if self.n > FIRST * k else np.arange(self.n)
+        # any examples give a worst cosine that counts; those that can be nearest give a high one
+        first = np.flatnonzero(most > most.max() / 2) if self.n > FIRST * k else np.arange(self.n)
+        if len(first) <= 2 * k and self.n > FIRST * k:
+            first = np.arange(self.n)
+        if len(first) > FIRST * k:
+            first = first[np.argpartition(most[first], len(first) - FIRST * k)[-FIRST * k :]]
         first = first[first != without]
         worst = np.sort(sums[first] + self.lists[first] @ query)[-k] if len(first) > k else 0.0
         live = np.flatnonzero(most >= worst - 1e-6)  # the others stay closed
@@ -324,13 +342,15 @@ def document_frequencies(docs: DataFrame, terms, size: int) -> tuple[np.ndarray,
     """In how many of all documents each term (of the broadcast ``terms``, ``size`` of them) stands, and their number."""
 
     def run(batches):
-        ids, rows = terms.value.number, 0
+        number, rows = terms.value.of_word.__getitem__, 0
         seen = np.zeros(size, np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 texts = batch.column(0).slice(start, 64).to_pylist()
-                found = [i for i in map(ids.get, chain.from_iterable(map(distinct_terms, texts))) if i is not None]
-                np.add.at(seen, np.array(found, np.int64), 1)
+                for text in texts:
+                    words = set(text.lower().split())
+                    found = np.fromiter(map(number, words), np.int64, len(words))
+                    seen[found[found >= 0]] += 1  # a term counts once, however its words are marked
                 rows += len(texts)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at)), pa.array(np.append(rows, seen[at]))], names=["term", "n"])

@@ -134,3 +134,20 @@ def test_texts_without_terms_and_repeated_ids(spark):
     scores = [(r["doc_id"], r["score"]) for r in toxicity.scored(docs, index).collect()]
     assert [s for i, s in scores if i in (3, 4, 5)] == [0.5] * 4  # null and empty are one example, id 5 the other
     assert toxicity.scored(docs, None).agg(F.max("score")).first()[0] == 0.0
+
+
+def test_words_are_numbered_once_and_found_without_marks():
+    numbers = toxicity.Numbers({"a": 0, "b": 1}, most=3)
+    assert [numbers[w] for w in ("a", "(a)", "c", "b!", "b!", "--")] == [0, 0, -1, 1, 1, -1]
+    assert dict(numbers) == {"a": 0, "(a)": 0, "c": -1}  # bounded; further words are looked up each time
+    weights = toxicity.Weights({"a": 0, "b": 1, "c": 2}, np.array([1.0, 2.0, 0.0]))
+    t, w = weights.vector("b (A) x c a, B. b")
+    expected = np.array([1 + math.log(2), 2 * (1 + math.log(3))])
+    assert t.tolist() == [0, 1] and np.allclose(w, expected / np.sqrt((expected**2).sum()))
+    assert [len(v) for v in weights.vector("x -- y")] == [0, 0]
+
+
+def test_few_examples_that_stand_out_do_not_hide_the_others():
+    vectors = [(np.array([0], np.int32), np.array([1.0 if j < 20 else 0.01], np.float32)) for j in range(400)]
+    index = toxicity.Index({"a": 0}, np.ones(1), vectors, np.zeros(400), np.arange(400))
+    assert [j for _, j in index.nearest(np.array([0]), np.array([1], np.float32), 25)] == list(range(25))

@@ -13,6 +13,8 @@ are read) only if short sum plus block bound reaches the worst of as many exampl
 probabilities by isotonic regression on the examples, each scored without itself, equal votes
 pooled.
 
+Texts are split once: the counts of each text's terms are stored; frequencies and scores come from these.
+
 Fitting reads at most ``LABELLED`` labelled documents, by hash of the id: index and vocabulary are
 bounded by their texts. Of examples with equal text and label one stays, as copies are no evidence.
 
@@ -26,7 +28,7 @@ of cosine go to the example that comes first in the index.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 from itertools import repeat
 
@@ -93,6 +95,16 @@ class Numbers(dict):
         return found
 
 
+def counts(text: str, of_word: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the text's terms, ascending, and how often each stands in it."""
+    words = text.lower().split()
+    every = np.fromiter(map(of_word.__getitem__, words), np.int32, len(words))
+    every.sort()
+    every = every[np.searchsorted(every, 0) :]
+    first = np.flatnonzero(np.diff(every, prepend=-1))
+    return every[first], np.diff(first, append=len(every))
+
+
 class Weights:
     """The terms' numbers and weights; makes vectors of texts."""
 
@@ -105,13 +117,15 @@ class Weights:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, ascending, and weights of length 1."""
-        words = text.lower().split()
-        every = np.fromiter(map(self.of_word.__getitem__, words), np.int32, len(words))
-        every.sort()
-        every = every[np.searchsorted(every, 0) :]
-        first = np.flatnonzero(np.diff(every, prepend=-1))
-        t = every[first]
-        w = (1 + np.log(np.diff(first, append=len(every)))) * self.weight[t]
+        return self.of_counts(*counts(text, self.of_word))
+
+    def of_stored(self, t: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of the text whose counts are stored."""
+        numbers = np.frombuffer(t, np.int32)
+        return self.of_counts(numbers, np.frombuffer(n, f"u{len(n) // len(numbers)}" if len(numbers) else "u1"))
+
+    def of_counts(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n, dtype=float)) * self.weight[t]
         t, w = t[w > 0], w[w > 0]
         return t, (w / max(np.sqrt((w**2).sum()), 1e-12)).astype(np.float32)
 
@@ -154,6 +168,11 @@ class Index:
         both[:, 0], both[:, 1] = self.examples, self.values.view(np.int32)
         return both.view(np.int64)[:, 0]
 
+    @cached_property
+    def pieces(self) -> memoryview:
+        """The postings, to be cut and joined as bytes: for hundreds of short lists faster than as arrays."""
+        return memoryview(self.postings)
+
     @cached_property
     def highest(self) -> np.ndarray:
         """By long list and block, the largest value."""
@@ -166,7 +185,7 @@ class Index:
         return self._shared
 
     def __getstate__(self):  # terms go apart
-        return {k: v for k, v in self.__dict__.items() if k not in ("_shared", "lists", "postings", "highest")} | {"weights": Weights({}, self.weights.weight)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_shared", "lists", "postings", "pieces", "highest")} | {"weights": Weights({}, self.weights.weight)}
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k nearest examples as (cosine, position), nearest first, ties by position.
@@ -195,7 +214,7 @@ class Index:
         starts, ends = self.first[t], self.first[t + 1]
         some = (ends > starts) & (self.long[t] < 0)
         sizes = (ends - starts)[some]
-        found = np.concatenate([self.postings[:0], *map(self.postings.__getitem__, map(slice, starts[some].tolist(), ends[some].tolist()))]).view(np.int32)
+        found = np.frombuffer(b"".join(map(self.pieces.__getitem__, map(slice, starts[some].tolist(), ends[some].tolist()))), np.int32)
         sums = np.bincount(found[::2], found[1::2].view(np.float32) * np.repeat(w[some], sizes), self.n)
         most = sums + np.repeat(bound, BLOCK)[: self.n]
         if without >= 0:
@@ -219,9 +238,9 @@ class Index:
         total = sum(c for c, _ in near)
         return sum(c * self.labels[j] for c, j in near) / total if total else self.empty_score
 
-    def scores(self, texts: list[str], steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, list[int]]]:
-        """For each text the score calibrated by ``steps`` and the ids of the nearest examples."""
-        for near in self.nearest_of(list(map(self.weights.vector, texts))):
+    def scores(self, vectors: list[tuple], steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, list[int]]]:
+        """For each vector the score calibrated by ``steps`` and the ids of the nearest examples."""
+        for near in self.nearest_of(vectors):
             if near:
                 yield float(np.interp(self.vote(near), *steps)), [int(self.ids[j]) for _, j in near[:3]]
             else:
@@ -255,11 +274,16 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataF
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = LABELLED) -> Index | None:
     """Fit on at most ``most`` labelled documents; document frequencies over all of ``docs``."""
+    return learn_and_count(docs, labels, label, most)[0]
+
+
+def learn_and_count(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = LABELLED) -> tuple[Index | None, DataFrame | None]:
+    """As ``learn``; with the index the stored counts of all ``docs``, which ``scored_counts`` takes."""
     context = docs.sparkSession.sparkContext
     rows = checkpointed(examples(docs, labels, label, most))  # at most ``most`` texts
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
-        return None
+        return None, None
 
     def counting():
         def work(columns):
@@ -276,7 +300,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     numbers = Terms(counted["term"].combine_chunks())  # sorted: numbers do not hang on the order of rows
     d0, d1 = (np.array(counted[c], float) for c in ("d0", "d1"))
     terms = context.broadcast(numbers)
-    df, total = document_frequencies(docs, terms, len(d0))
+    stored = checkpointed(counted_terms(docs, terms))
+    df, total = document_frequencies(stored, len(d0))
     weight = np.log((1 + total) / (1 + df)) * relevance(d1, d0)
     weights = context.broadcast(weight)
 
@@ -300,7 +325,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     del made, full
     index._shared = terms, context.broadcast(index)
     index.steps = isotonic(*_votes(rows, index))
-    return index
+    return index, stored
 
 
 def _place(r: tuple, weight: np.ndarray, df: np.ndarray) -> tuple:
@@ -338,24 +363,36 @@ def _votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
     return np.array(found["vote"], float), index.labels[np.array(found["at"])]
 
 
-def document_frequencies(docs: DataFrame, terms, size: int) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term (of the broadcast ``terms``, ``size`` of them) stands, and their number."""
+def counted_terms(docs: DataFrame, terms) -> DataFrame:
+    """``doc_id, t, n`` for every row: the numbers of its (broadcast) terms as four bytes each, and how often each
+    stands in the text, in as few bytes each as the most frequent takes."""
+
+    def counting():
+        of_word = terms.value.of_word
+
+        def work(columns):
+            found = [counts(text, of_word) for text in columns[1]]
+            return [columns[0], [t.tobytes() for t, _ in found], [n.astype(np.min_scalar_type(n.max(initial=0))).tobytes() for _, n in found]]
+
+        return work
+
+    return map_rows(docs.select("doc_id", text_of("text").alias("text")), "doc_id long, t binary, n binary", counting)
+
+
+def document_frequencies(stored: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many of all documents each of the ``size`` terms stands, and their number."""
 
     def run(batches):
-        number, rows = terms.value.of_word.__getitem__, 0
-        seen = np.zeros(size, np.int64)
+        seen, rows = np.zeros(size, np.int64), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                texts = batch.column(0).slice(start, 64).to_pylist()
-                for text in texts:
-                    words = set(text.lower().split())
-                    found = np.fromiter(map(number, words), np.int64, len(words))
-                    seen[found[found >= 0]] += 1  # a term counts once, however its words are marked
-                rows += len(texts)
+            for start in range(0, batch.num_rows, 512):
+                found = batch.column(0).slice(start, 512).to_pylist()
+                seen += np.bincount(np.frombuffer(b"".join(found), np.int32), minlength=size)
+                rows += len(found)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at)), pa.array(np.append(rows, seen[at]))], names=["term", "n"])
 
-    counted = docs.select(text_of("text").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = stored.select("t").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     found = np.zeros(size + 1)
     found[np.array(counted["term"])] = np.array(counted["n"])
     return found[:-1], int(found[-1])
@@ -363,6 +400,16 @@ def document_frequencies(docs: DataFrame, terms, size: int) -> tuple[np.ndarray,
 
 def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, evidence`` (ids of the nearest examples) for every row."""
+    return _scored(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")), index, Weights.vector)
+
+
+def scored_counts(stored: DataFrame, index: Index) -> DataFrame:
+    """As ``scored``, from the counts of ``learn_and_count``."""
+    return _scored(stored, index, Weights.of_stored)
+
+
+def _scored(rows: DataFrame, index: Index | None, vector: Callable) -> DataFrame:
+    """``vector`` makes a vector of what stands behind the id in a row."""
     opened, steps = (None, None) if index is None else (_opened(index), index.steps)
 
     def make():
@@ -372,21 +419,21 @@ def scored(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_co
             if index is None:
                 found = [(0.0, [])] * len(columns[0])
             else:
-                texts = list(set(columns[1]))
-                known = dict(zip(texts, index.scores(texts, steps), strict=True))
-                found = list(map(known.__getitem__, columns[1]))
+                every = list(zip(*columns[1:], strict=True))
+                once = list(set(every))
+                known = dict(zip(once, index.scores([vector(index.weights, *x) for x in once], steps), strict=True))
+                found = list(map(known.__getitem__, every))
             return [columns[0], [min(1.0, max(0.0, s)) for s, _ in found], [e for _, e in found]]
 
         return work
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     return map_rows(rows, "doc_id long, score double, evidence array<long>", make)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    index = learn(docs, table(spark, sf_dir, "labels").where(fold("doc_id", FOLDS) != HELD))
-    return scored(docs, index).select(
+    index, stored = learn_and_count(docs, table(spark, sf_dir, "labels").where(fold("doc_id", FOLDS) != HELD))
+    return (scored_counts(stored, index) if index else scored(docs, None)).select(
         "doc_id",
         (fold("doc_id", FOLDS) == HELD).alias("held_out"),
         "score",

@@ -151,3 +151,25 @@ def test_few_examples_that_stand_out_do_not_hide_the_others():
     vectors = [(np.array([0], np.int32), np.array([1.0 if j < 20 else 0.01], np.float32)) for j in range(400)]
     index = toxicity.Index({"a": 0}, np.ones(1), vectors, np.zeros(400), np.arange(400))
     assert [j for _, j in index.nearest(np.array([0]), np.array([1], np.float32), 25)] == list(range(25))
+
+
+def test_texts_are_split_once_and_scored_from_their_counts(spark, documents, awkward):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = documents.select("doc_id", "text").union(awkward.select(F.col("doc_id") + 1_000_000, "text"))
+    docs = docs.union(spark.createDataFrame([(2_000_000, "the " * 70_000 + "(day) day! DAY of")], "doc_id long, text string"))
+    index, stored = toxicity.learn_and_count(docs, labels)
+    columns = ["doc_id", "score", F.array_sort("evidence").alias("evidence")]
+    expected, found = (sorted(map(repr, x.select(columns).collect())) for x in (toxicity.scored(docs, index), toxicity.scored_counts(stored, index)))
+    assert found == expected and len(found) == docs.count()
+    terms = index.weights.terms.terms.to_pylist()
+    every = set(terms)
+    kept = {r["doc_id"]: (r["t"], r["n"]) for r in stored.collect()}  # rows of one id have one text here
+    for r in docs.collect():
+        t, n = kept[r["doc_id"]]
+        assert all(map(np.array_equal, index.weights.of_stored(t, n), index.weights.vector(r["text"] or "")))
+        known, size = np.frombuffer(t, np.int32), 4 * len(n) // max(1, len(t))
+        plain = plain_terms(r["text"])
+        assert [int.from_bytes(n[i : i + size], "little") for i in range(0, len(n), size or 1)] == [plain[terms[i]] for i in known]
+        assert (np.diff(known) > 0).all() and set(plain) & every == {terms[i] for i in known}
+    plan = toxicity.op7_toxicity(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower()  # scores come from the stored counts, not from the texts again

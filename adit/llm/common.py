@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs run within it send rows to Python in Arrow batches of about ``size`` (one row at least)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)  # None: not set, Spark's own 64 MB
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as fold 0."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus)), F.lit(0))

@@ -8,8 +8,9 @@ scaled logarithm of their smoothed ratio, and the product of the matrix with the
 the rows' sums, gives the weights. A Gumbel draw from the hash of each id makes the highest scores a
 sample in proportion to the weights.
 
-Each task keeps one block and one array of ``buckets`` sums, so memory does not depend on the
-input. Gains (one number a bucket) are all that goes to every task. Ranks come without a sort of all
+Each task keeps one block and one array of ``buckets`` sums in Python, and a file has few blocks, as Spark's
+reader takes up to 4,096 rows of a file at once: memory depends neither on the input nor on how much of
+it a task reads. Gains (one number a bucket) are all that goes to every task. Ranks come without a sort of all
 rows: documents are counted by score, a running sum over the scores gives each score's first rank, and only
 rows that tie in score are ordered, by id. Scores are whole numbers; at scale 1000 64-bit counts leave
 gains within 45,000 of zero and the draw between -3,200 and 22,900, so there are some 100,000 of them
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adit.llm.common import checkpointed, removed, shared_folder, table
+from adit.llm.common import arrow_batches, checkpointed, removed, shared_folder, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # bytes: those of longer code points are all above 7F
 BUCKETS = 10_000
@@ -44,6 +45,8 @@ SEED = "2024"
 LEAST_WORDS = 20
 PERCENT = 10
 BLOCK = 262_144  # a block is closed at so many counts (a document adding 16 for its own numbers)
+PER_FILE = 4  # blocks, some 13 MB when read; a file of 128 MB of texts would have some 60
+BATCH = "8m"  # of texts or blocks sent to Python at once: Spark's 64 MB would be held twice in each task
 _BLOCK = pa.schema(
     [
         ("doc_ids", pa.list_(pa.int64())),
@@ -105,7 +108,7 @@ class CountMatrix:
         rows = docs.select((F.col(id_col) if id_col else F.lit(None)).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         blocks = rows.mapInArrow(_blocks(longest, buckets), _DDL)
         if path:
-            blocks.write.parquet(path)
+            blocks.write.option("maxRecordsPerFile", PER_FILE).parquet(path)
             blocks = docs.sparkSession.read.schema(_DDL).parquet(path)
         return cls(blocks, buckets, path)
 
@@ -131,11 +134,10 @@ class CountMatrix:
         schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_words", "n_features", "weight")])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, words, ends, at, n = (c.flatten() for c in batch.columns)
-                lengths = np.concatenate([np.diff(block, prepend=0) for block in batch.column(2).to_numpy(zero_copy_only=False)])
+            for block in (batch.slice(k, 1) for batch in batches for k in range(batch.num_rows)):
+                ids, words, ends, at, n = (c.flatten() for c in block.columns)
                 counts = n.to_numpy(zero_copy_only=False)
-                stops = np.concatenate([[0], np.cumsum(lengths)])
+                stops = np.concatenate([[0], ends.to_numpy(zero_copy_only=False)])
                 totals = np.concatenate([[0], np.cumsum(counts)])
                 products = np.concatenate([[0], np.cumsum(counts * shared.value[at.to_numpy(zero_copy_only=False)])])
                 size, sums = (x[stops[1:]] - x[stops[:-1]] for x in (totals, products))
@@ -208,10 +210,11 @@ def importance_resampled(
     """
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
-    source = CountMatrix.of(docs, id_col, text_col, longest, buckets, path)
-    gains = gains_of(source, CountMatrix.of(target, None, target_col, longest, buckets), scale)
     draw = F.floor(-F.lit(float(scale)) * F.log(-F.log((drawn_number(seed) + F.lit(0.5)) / F.lit(4294967296.0))))
-    rows = checkpointed(source.row_means(gains).withColumn("score", F.col("weight") + draw))
+    with arrow_batches(spark, BATCH):
+        source = CountMatrix.of(docs, id_col, text_col, longest, buckets, path)
+        gains = gains_of(source, CountMatrix.of(target, None, target_col, longest, buckets), scale)
+        rows = checkpointed(source.row_means(gains).withColumn("score", F.col("weight") + draw))
     removed(spark, path)
     return ranked(rows, percent, least_words)
 

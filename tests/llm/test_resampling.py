@@ -6,9 +6,11 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
-from adit.llm import resampling
+from adit.llm import common, resampling
 
 
 def words_of(text):
@@ -87,6 +89,40 @@ def test_blocks_do_not_change_the_result(spark, documents, monkeypatch, tmp_path
     assert sorted(whole.row_means(gains).collect()) == sorted(cut.row_means(gains).collect())
 
 
+def test_a_file_has_few_blocks_however_many_a_task_makes(spark, documents, monkeypatch, tmp_path):
+    """A reader of 4,096 rows at once then never holds more of them."""
+    whole = resampling.CountMatrix.of(documents)
+    monkeypatch.setattr(resampling, "BLOCK", 500)
+    cut = resampling.CountMatrix.of(documents.coalesce(1), path=str(tmp_path / "blocks"))
+    held = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "blocks").glob("*.parquet")]
+    assert sum(held) > 10 and max(held) <= 4
+    gains = resampling.gains_of(cut, whole)
+    assert sorted(whole.row_means(gains).collect()) == sorted(cut.row_means(gains).collect())
+
+
+@pytest.mark.parametrize("before", [None, "32m"])
+def test_batches_of_blocks_are_small_and_the_session_keeps_its_setting(spark, documents, before, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["s"])
+
+    docs = spark.range(30).crossJoin(documents.select("text")).selectExpr("id AS doc_id", "text").coalesce(1)
+    blocks = resampling.CountMatrix.of(docs, path=str(tmp_path / "blocks")).blocks.coalesce(1)
+    if before:
+        spark.conf.set(key, before)
+    try:
+        with common.arrow_batches(spark, resampling.BATCH):
+            small = [r["s"] for r in blocks.mapInArrow(sizes, "s long").collect()]
+        assert spark.conf.get(key, None) == before
+        assert resampling.importance_resampled(documents, documents).count() == documents.count()
+        assert spark.conf.get(key, None) == before
+    finally:
+        spark.conf.unset(key)
+    assert sum(small) > 16_000_000 and max(small) < 16_000_000
+
+
 def test_the_table_of_blocks_is_removed(spark, documents, tmp_path, monkeypatch):
     monkeypatch.setattr(resampling, "shared_folder", lambda _: str(tmp_path))
     assert resampling.importance_resampled(documents, documents).count() == documents.count()
